@@ -300,27 +300,41 @@ KEYS = {
 }
 
 
-def build_star(silver: Frames, cfg: LakeConfig) -> dict[str, DataFrame]:
-    """The four dimensions and three facts."""
-    return {
-        "dim_fecha": dim_fecha(silver),
-        "dim_cliente": dim_cliente(silver[CLIENTES], cfg),
-        "dim_producto": dim_producto(silver[PRODUCTOS]),
-        "dim_sucursal": dim_sucursal(silver[SUCURSALES]),
-        "fact_movimientos": fact_movimientos(silver[MOVIMIENTOS]),
-        "fact_obligaciones": fact_obligaciones(silver[OBLIGACIONES]),
-        "fact_comisiones": fact_comisiones(silver[COMISIONES]),
+def star_table(silver: Frames, name: str, cfg: LakeConfig) -> DataFrame:
+    """One dimension or fact from the silver tables it needs."""
+    builders = {
+        "dim_fecha": lambda: dim_fecha(silver),
+        "dim_cliente": lambda: dim_cliente(silver[CLIENTES], cfg),
+        "dim_producto": lambda: dim_producto(silver[PRODUCTOS]),
+        "dim_sucursal": lambda: dim_sucursal(silver[SUCURSALES]),
+        "fact_movimientos": lambda: fact_movimientos(silver[MOVIMIENTOS]),
+        "fact_obligaciones": lambda: fact_obligaciones(silver[OBLIGACIONES]),
+        "fact_comisiones": lambda: fact_comisiones(silver[COMISIONES]),
     }
+    return builders[name]()
 
 
-def build_marts(star: Frames, cfg: LakeConfig, run: RunContext) -> dict[str, DataFrame]:
-    facts = [star[name] for name in ("fact_movimientos", "fact_obligaciones", "fact_comisiones")]
+def mart_table(star: Frames, name: str, cfg: LakeConfig, run: RunContext) -> DataFrame:
+    """One mart from the star."""
+    facts = [star[fact] for fact in ("fact_movimientos", "fact_obligaciones", "fact_comisiones")]
+    if name == "kpi_resumen_bancario":
+        return kpi_resumen(kpi_parts(star["dim_cliente"], *facts), cfg, run)
+    dim, build = {
+        "mart_cliente_360": ("dim_cliente", mart_cliente_360),
+        "mart_producto_rendimiento": ("dim_producto", mart_producto_rendimiento),
+    }[name]
+    measures = (movements_by, obligations_by, commissions_by)
+    return build(star[dim], *[measure(fact, KEYS[dim]) for measure, fact in zip(measures, facts)])
 
-    def by(key: str) -> list[DataFrame]:
-        return [measure(fact, key) for measure, fact in zip((movements_by, obligations_by, commissions_by), facts)]
 
-    return {
-        "mart_cliente_360": mart_cliente_360(star["dim_cliente"], *by("cliente_key")),
-        "mart_producto_rendimiento": mart_producto_rendimiento(star["dim_producto"], *by("producto_key")),
-        "kpi_resumen_bancario": kpi_resumen(kpi_parts(star["dim_cliente"], *facts), cfg, run),
-    }
+STAR = tuple(name for name, kind in KINDS.items() if kind != "MART")
+MARTS = tuple(name for name, kind in KINDS.items() if kind == "MART")
+
+
+def build_star(silver: Frames, cfg: LakeConfig) -> dict[str, DataFrame]:
+    """The four dimensions and three facts."""
+    return {name: star_table(silver, name, cfg) for name in STAR}
+
+
+def build_marts(star: Frames, cfg: LakeConfig, run: RunContext) -> dict[str, DataFrame]:
+    return {name: mart_table(star, name, cfg, run) for name in MARTS}

@@ -87,6 +87,55 @@ INPUTS: dict[str, tuple[str, ...]] = {
     COMISIONES: ("orders",),
 }
 
+# Control tables. The event stream doubles as the log of ingestion runs, and
+# suppliers as the tables under ingestion.
+CONTROL_SQL: dict[str, str] = {
+    "run_log": """
+SELECT concat('RUN-', CAST(CAST(floor(event_id / 40) AS BIGINT) AS VARCHAR(20))) AS pipeline_run_id,
+  concat('LOTE-', CAST(CAST(floor(event_id / 40) AS BIGINT) AS VARCHAR(20))) AS batch_id,
+  concat('Supplier#', lpad(CAST(user_id % 10 AS VARCHAR(20)), 9, '0')) AS source_table, event_id AS seq,
+  CASE event_type WHEN 'error' THEN 'FAILED' WHEN 'purchase' THEN 'SUCCEEDED' WHEN 'view' THEN 'SKIPPED' ELSE 'STARTED' END AS status,
+  ts AS event_at_utc, user_id * 10 AS rows_read, user_id * 10 - event_id % 3 AS rows_copied, user_id * 1000 AS bytes_written,
+  CAST(event_id % 600 AS INT) AS duration_seconds, concat('bronze/', CAST(event_id AS VARCHAR(20))) AS output_path,
+  event_id * 3 AS new_watermark, 'copy' AS activity_name, concat('E', CAST(event_id % 7 AS VARCHAR(20))) AS error_code,
+  concat('failed at ', CAST(event_id AS VARCHAR(20))) AS error_message, props AS error_details
+FROM {events}""",
+    "config": """
+SELECT 'dbo' AS source_schema, s_name AS source_table,
+  CASE WHEN s_suppkey % 3 = 0 THEN 'APPEND_WATERMARK' ELSE 'CHANGE_TRACKING' END AS load_strategy,
+  CASE WHEN s_suppkey % 3 = 0 THEN NULL ELSE 'id' END AS primary_key_column,
+  CASE WHEN s_suppkey % 3 = 0 THEN 'id' END AS watermark_column,
+  CASE WHEN s_suppkey % 3 <> 0 AND s_acctbal >= 0 THEN s_suppkey * 7 END AS last_change_version,
+  CASE WHEN s_suppkey % 3 = 0 AND s_acctbal >= 0 THEN s_suppkey * 11 END AS last_watermark_value,
+  s_acctbal >= 0 AS initial_load_completed, s_suppkey % 5 <> 0 AS is_active,
+  TIMESTAMP '2024-01-01 00:00:00' AS updated_at_utc
+FROM {supplier}""",
+    "config_changes": """
+SELECT 'dbo' AS source_schema, concat('Supplier#', lpad(CAST(c_custkey AS VARCHAR(20)), 9, '0')) AS source_table,
+  CASE WHEN c_custkey % 2 = 0 THEN 'APPEND_WATERMARK' ELSE 'CHANGE_TRACKING' END AS load_strategy,
+  CASE WHEN c_custkey % 2 = 0 THEN NULL ELSE 'pk' END AS primary_key_column,
+  CASE WHEN c_custkey % 2 = 0 THEN 'pk' END AS watermark_column
+FROM {customer}""",
+    "client_changes": """
+SELECT c_custkey AS id_cli, 5 AS version, 'U' AS op FROM {customer} WHERE c_acctbal >= 0 AND c_custkey % 10 = 0
+UNION ALL SELECT c_custkey, 8, 'I' FROM {customer} WHERE c_acctbal >= 0 AND c_custkey % 10 = 1
+UNION ALL SELECT c_custkey, 9, 'D' FROM {customer} WHERE c_acctbal >= 0 AND c_custkey % 10 = 2
+UNION ALL SELECT c_custkey, 9, 'U' FROM {customer} WHERE c_acctbal >= 0 AND c_custkey % 30 = 0""",
+    "run_metrics": """
+SELECT concat('RUN-', CAST(CAST(ts AS DATE) AS VARCHAR(20))) AS run_id, upper(event_type) AS table_name, 'FACT' AS table_type,
+  count(*) AS row_count, count(*) AS bronze_rows, count(CASE WHEN value >= 10 THEN 1 END) AS silver_rows,
+  count(CASE WHEN value < 10 THEN 1 END) AS quarantined_rows, max(ts) AS processed_at_utc
+FROM {events} GROUP BY CAST(ts AS DATE), upper(event_type)""",
+}
+
+CONTROL_INPUTS = {
+    "run_log": "events",
+    "config": "supplier",
+    "config_changes": "customer",
+    "client_changes": "customer",
+    "run_metrics": "events",
+}
+
 RUN = RunContext(run_id="RUN-0001", as_of=datetime(2024, 2, 5), batch_id="1")
 
 # These sources date their versions by other means than files: movements by
@@ -121,6 +170,11 @@ def source_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return df
 
 
+def control_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    source = CONTROL_INPUTS[name]
+    return spark.sql(CONTROL_SQL[name], **{source: table(spark, sf_dir, source)})
+
+
 def source_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {name: source_table(spark, sf_dir, name) for name in SOURCE_SQL}
 
