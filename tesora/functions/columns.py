@@ -99,7 +99,5 @@ def business_columns(columns: Iterable[str]) -> list[str]:
 
 def record_hash(df: DataFrame) -> Column:
     """SHA-256 over the business columns in name order, nulls made visible."""
-    parts = [
-        F.coalesce(F.col(name).cast("string"), F.lit(NULL_TOKEN)) for name in sorted(business_columns(df.columns))
-    ]
-    return F.sha2(F.concat_ws(HASH_SEPARATOR, *parts), 256)
+    parts = [f"coalesce(cast(`{name}` AS string), '{NULL_TOKEN}')" for name in sorted(business_columns(df.columns))]
+    return F.expr(f"sha2(concat_ws('{HASH_SEPARATOR}', {', '.join(parts)}), 256)")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -14,11 +14,11 @@ from tesora.functions.columns import record_hash
 def standardize(df: DataFrame, uppercase: Sequence[str] = ()) -> DataFrame:
     """Trim every text column and upper-case the catalogue ones, in one projection."""
 
-    def clean(name: str, is_text: bool) -> Column:
-        column = F.trim(name) if is_text else F.col(name)
-        return (F.upper(column) if name in uppercase else column).alias(name)
+    def clean(name: str, is_text: bool) -> str:
+        text = f"trim(`{name}`)" if is_text else f"`{name}`"
+        return f"upper({text}) AS `{name}`" if name in uppercase else f"{text} AS `{name}`" if is_text else text
 
-    return df.select(*[clean(f.name, isinstance(f.dataType, StringType)) for f in df.schema.fields])
+    return df.selectExpr(*[clean(f.name, isinstance(f.dataType, StringType)) for f in df.schema.fields])
 
 
 def split_null_keys(df: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
@@ -61,7 +61,8 @@ def tag_latest(df: DataFrame, key: str, order: Sequence[str], flag: str = "_is_l
     same_row = F.col(key) == F.col("_w_key")
     for column in order:
         same_row = same_row & F.col(column).eqNullSafe(F.col(f"_w_{column}"))
-    return df.join(winner, same_row, "left").select(*df.columns, F.col("_w_key").isNotNull().alias(flag))
+    matched = df.join(winner, same_row, "left").withColumn(flag, F.col("_w_key").isNotNull())
+    return matched.drop("_w_key", *[f"_w_{c}" for c in order])
 
 
 def dedupe_latest(df: DataFrame, key: str, order: Sequence[str]) -> tuple[DataFrame, DataFrame]:

@@ -55,7 +55,7 @@ def attach_history(
     movements: DataFrame, history: DataFrame, client: str = "id_cli", day: str = "fec_mov"
 ) -> DataFrame:
     """Give each movement the history of its client and day; none outside the period."""
-    return movements.join(history, [client, day], "left").select(*movements.columns, MEAN, DEVIATION, SAMPLES)
+    return movements.join(history, [client, day], "left")
 
 
 def flag_outlier(df: DataFrame, in_period: str, amount: str, sigmas: int = 3, min_samples: int = 2) -> DataFrame:

@@ -26,6 +26,4 @@ def salted_lookup(
     """
     salted = facts.withColumn("_salt", F.pmod(F.xxhash64(*spread_by), F.lit(buckets)).cast("int"))
     repeated = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
-    joined = salted.join(repeated, [*keys, "_salt"], "left")
-    added = [c for c in lookup.columns if c not in keys]
-    return joined.select(*facts.columns, *added)
+    return salted.join(repeated, [*keys, "_salt"], "left").drop("_salt")

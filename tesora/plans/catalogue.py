@@ -12,7 +12,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ByteType, DecimalType, IntegerType, ShortType
+from pyspark.sql.types import ByteType, DecimalType, IntegerType, ShortType, StructField
 
 from tesora.config import (
     CLIENTES,
@@ -41,15 +41,15 @@ TECHNICAL_OUTPUT = (
 
 
 def present(df: DataFrame) -> DataFrame:
-    def rendered(field):
-        column = F.col(f"`{field.name}`")
-        if isinstance(field.dataType, DecimalType):
-            return column.cast("double").alias(field.name)
-        if isinstance(field.dataType, (ByteType, ShortType, IntegerType)):
-            return column.cast("bigint").alias(field.name)
-        return column
+    def rendered(field: StructField) -> str:
+        name, kind = f"`{field.name}`", field.dataType
+        if isinstance(kind, DecimalType):
+            return f"cast({name} AS double) AS {name}"
+        if isinstance(kind, (ByteType, ShortType, IntegerType)):
+            return f"cast({name} AS bigint) AS {name}"
+        return name
 
-    return df.select(*[rendered(f) for f in df.schema.fields if f.name not in TECHNICAL_OUTPUT])
+    return df.selectExpr(*[rendered(f) for f in df.schema.fields if f.name not in TECHNICAL_OUTPUT])
 
 
 class OnDemand(Mapping[str, DataFrame]):
@@ -90,13 +90,17 @@ class Lake:
     def bronze(self) -> Mapping[str, DataFrame]:
         return OnDemand(CFG.specs, lambda name: bindings.bronze_table(self.spark, self.sf_dir, name))
 
+    @cached_property
+    def refs(self) -> rules.References:
+        return silver.references(self.bronze, CFG)
+
     @cached_property
     def silver(self) -> Mapping[str, DataFrame]:
-        return OnDemand(CFG.specs, lambda name: silver.build_table(self.bronze, name, CFG))
+        return OnDemand(CFG.specs, lambda name: silver.build_table(self.bronze, name, CFG, refs=self.refs))
 
     @cached_property
     def staged(self) -> Mapping[str, DataFrame]:
-        return OnDemand(CFG.specs, lambda name: silver.stage_table(self.bronze, name, CFG))
+        return OnDemand(CFG.specs, lambda name: silver.stage_table(self.bronze, name, CFG, self.refs))
 
     @cached_property
     def quarantine(self) -> DataFrame:
@@ -118,8 +122,7 @@ class Lake:
         )
 
     def referenced(self, name: str) -> DataFrame:
-        refs = silver.references(self.bronze, CFG)
-        return rules.check_references(self.latest(name), refs, [CFG.specs[name].key], CFG.salt_buckets).withColumn(
+        return rules.check_references(self.latest(name), self.refs, [CFG.specs[name].key], CFG.salt_buckets).withColumn(
             "reglas", rules.rule_string(rules.reference_rules())
         )
 
@@ -348,7 +351,7 @@ def _(lake: Lake) -> DataFrame:
 @query("oblig_flags")
 def _(lake: Lake) -> DataFrame:
     found = rules.rule_string(silver.rules_for(OBLIGACIONES, CFG))
-    return silver.screened(lake.bronze, OBLIGACIONES, CFG).select(
+    return silver.screened(lake.bronze, OBLIGACIONES, CFG, lake.refs).select(
         "id_oblig", "ind_montos_consistentes", "ind_fechas_consistentes", found.alias("reglas")
     )
 
@@ -357,7 +360,7 @@ def _(lake: Lake) -> DataFrame:
 def _(lake: Lake) -> DataFrame:
     found = rules.rule_string(silver.rules_for(COMISIONES, CFG))
     return (
-        silver.screened(lake.bronze, COMISIONES, CFG)
+        silver.screened(lake.bronze, COMISIONES, CFG, lake.refs)
         .select("id_comision", "vr_comision", found.alias("reglas"))
         .where("reglas <> ''")
     )
@@ -365,7 +368,7 @@ def _(lake: Lake) -> DataFrame:
 
 @query("mov_flags")
 def _(lake: Lake) -> DataFrame:
-    return silver.screened(lake.bronze, MOVIMIENTOS, CFG).select(
+    return silver.screened(lake.bronze, MOVIMIENTOS, CFG, lake.refs).select(
         "id_mov", "cod_canal", "cod_canal_original", "ind_fecha_rango_valido", "ind_canal_valido"
     )
 
@@ -389,7 +392,7 @@ def _(lake: Lake) -> DataFrame:
 def _(lake: Lake) -> DataFrame:
     """How many movements each published channel has, and whether the domain knows it."""
     allowed = (*CFG.allowed_channels, UNKNOWN_CHANNEL)
-    return quality.check_domain(silver.screened(lake.bronze, MOVIMIENTOS, CFG), "cod_canal", allowed)
+    return quality.check_domain(silver.screened(lake.bronze, MOVIMIENTOS, CFG, lake.refs), "cod_canal", allowed)
 
 
 @query("record_hash")

@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tesora.config import (
+    CLIENTES,
     COMISIONES,
     MOVIMIENTOS,
     OBLIGACIONES,
+    PRODUCTOS,
     RULE_AMOUNTS,
     RULE_BAD_CHANNEL,
     RULE_DATES,
@@ -50,12 +52,10 @@ def rules_for(table: str, cfg: LakeConfig) -> list[Rule]:
 
 def references(bronze: Mapping[str, DataFrame], cfg: LakeConfig) -> References:
     """Keys facts may point at. Existence needs no deduplication, only standard text."""
-    return References.of(
-        *[
-            standardize(bronze[name], cfg.specs[name].uppercase)
-            for name in ("tb_clientes_core", "tb_productos_cat")
-        ]
-    )
+    keys = [
+        standardize(bronze[name].select(cfg.specs[name].key), cfg.specs[name].uppercase) for name in (CLIENTES, PRODUCTOS)
+    ]
+    return References.of(*keys)
 
 
 def map_channel(movements: DataFrame, cfg: LakeConfig) -> DataFrame:
@@ -104,34 +104,48 @@ def finish(df: DataFrame, run: RunContext | None = None) -> DataFrame:
     return hashed if run is None else hashed.withColumn("_silver_processed_at_utc", F.lit(run.as_of).cast("timestamp"))
 
 
-def screened(bronze: Mapping[str, DataFrame], table: str, cfg: LakeConfig) -> DataFrame:
+def screened(
+    bronze: Mapping[str, DataFrame], table: str, cfg: LakeConfig, refs: References | None = None
+) -> DataFrame:
     """Accepted rows of a table with flags, before movement history."""
     spec = cfg.specs[table]
-    refs = references(bronze, cfg) if spec.is_fact else None
-    df = screen(bronze[table], spec, rules_for(table, cfg), cfg, refs)
+    if spec.is_fact:
+        refs = refs or references(bronze, cfg)
+    df = screen(bronze[table], spec, rules_for(table, cfg), cfg, refs if spec.is_fact else None)
     return map_channel(df, cfg) if table == MOVIMIENTOS else df
 
 
-def build_table(bronze: Mapping[str, DataFrame], table: str, cfg: LakeConfig, run: RunContext | None = None) -> DataFrame:
+def build_table(
+    bronze: Mapping[str, DataFrame],
+    table: str,
+    cfg: LakeConfig,
+    run: RunContext | None = None,
+    refs: References | None = None,
+) -> DataFrame:
     """One silver table from bronze frames, as a single lazy plan."""
-    df = screened(bronze, table, cfg)
+    if cfg.specs[table].is_fact:
+        refs = refs or references(bronze, cfg)
+    df = screened(bronze, table, cfg, refs)
     if table == MOVIMIENTOS:
-        history = history_from_bronze(bronze[table], references(bronze, cfg), cfg.specs[table], cfg)
-        df = with_history(df, history, cfg)
+        df = with_history(df, history_from_bronze(bronze[table], refs, cfg.specs[table], cfg), cfg)
     return finish(df, run)
 
 
 def build_silver(
     bronze: Mapping[str, DataFrame], cfg: LakeConfig, run: RunContext | None = None, tables: Sequence[str] | None = None
 ) -> dict[str, DataFrame]:
-    return {name: build_table(bronze, name, cfg, run) for name in (tables or cfg.specs)}
+    refs = references(bronze, cfg)
+    return {name: build_table(bronze, name, cfg, run, refs) for name in (tables or cfg.specs)}
 
 
-def stage_table(bronze: Mapping[str, DataFrame], table: str, cfg: LakeConfig) -> DataFrame:
+def stage_table(
+    bronze: Mapping[str, DataFrame], table: str, cfg: LakeConfig, refs: References | None = None
+) -> DataFrame:
     """Every bronze row of a table with its outcome, for silver and quarantine alike."""
     spec = cfg.specs[table]
-    refs = references(bronze, cfg) if spec.is_fact else None
-    staged = stage(bronze[table], spec, rules_for(table, cfg), cfg, refs)
+    if spec.is_fact:
+        refs = refs or references(bronze, cfg)
+    staged = stage(bronze[table], spec, rules_for(table, cfg), cfg, refs if spec.is_fact else None)
     if table == MOVIMIENTOS:
         staged = staged.withColumn("cod_canal_original", F.when(F.col("_accepted"), F.col("cod_canal")))
     return staged

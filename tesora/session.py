@@ -16,6 +16,8 @@ DEFAULTS = {
     # exchange afterwards: a straggler costs more.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    # Building a plan otherwise records a call site per column expression.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

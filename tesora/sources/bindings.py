@@ -155,8 +155,28 @@ CONFIG = LakeConfig(
 )
 
 
+# Read schemas, so that planning a query opens no files.
+TABLE_SCHEMAS: dict[str, str] = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": (
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+        "o_orderdate timestamp_ntz, o_orderpriority string"
+    ),
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+        "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+        "l_shipdate timestamp_ntz"
+    ),
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spark.read.schema(TABLE_SCHEMAS[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def source_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -182,14 +202,13 @@ def source_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 def bronze_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A source table with the technical columns landing would have added."""
     df = source_table(spark, sf_dir, name)
-    if "_batch_id" not in df.columns:
-        df = df.withColumn("_batch_id", F.lit(1))
-    return df.withColumns(
-        {
-            "_ingestion_timestamp_utc": F.date_add(F.lit(date(2024, 2, 1)), F.col("_batch_id")).cast("timestamp"),
-            "_source_system": F.lit(CONFIG.source_system),
-            "_source_file": F.concat(F.lit(f"{name}/batch-"), F.col("_batch_id").cast("string"), F.lit(".parquet")),
-        }
+    if name != MOVIMIENTOS:
+        df = df.selectExpr("*", "1 AS _batch_id")
+    return df.selectExpr(
+        "*",
+        "cast(date_add(DATE '2024-02-01', _batch_id) AS timestamp) AS _ingestion_timestamp_utc",
+        f"'{CONFIG.source_system}' AS _source_system",
+        f"concat('{name}/batch-', _batch_id, '.parquet') AS _source_file",
     )
 
 
