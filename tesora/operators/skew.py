@@ -14,8 +14,9 @@ def salted_lookup(
     keys: Sequence[str],
     spread_by: Sequence[str],
     buckets: int,
+    how: str = "left",
 ) -> DataFrame:
-    """Left join facts to a narrow lookup that is unique on ``keys``.
+    """Join facts (left, or left_semi / left_anti) to a narrow lookup that is unique on ``keys``.
 
     Facts take a salt from a hash of ``spread_by`` (their own identity), the
     lookup is repeated once per salt. The hash is repeatable, so a retried task
@@ -26,4 +27,4 @@ def salted_lookup(
     """
     salted = facts.withColumn("_salt", F.pmod(F.xxhash64(*spread_by), F.lit(buckets)).cast("int"))
     repeated = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
-    return salted.join(repeated, [*keys, "_salt"], "left").drop("_salt")
+    return salted.join(repeated, [*keys, "_salt"], how).drop("_salt")

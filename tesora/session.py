@@ -39,4 +39,6 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if shared:
         return f"{shared.rstrip('/')}/tesora/{label}-{uuid.uuid4().hex}"
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     return tempfile.mkdtemp(prefix=f"tesora-{label}-")

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tesora.config import APPEND_WATERMARK, CHANGE_TRACKING
+from tesora.operators.skew import salted_lookup
 
 STARTED, SUCCEEDED, FAILED, SKIPPED = "STARTED", "SUCCEEDED", "FAILED", "SKIPPED"
 RUN_KEYS = ("pipeline_run_id", "source_table")
@@ -72,12 +73,16 @@ def upsert_config(config: DataFrame, incoming: DataFrame, as_of: datetime) -> Da
 
 
 def start_runs(log: DataFrame, requests: DataFrame) -> DataFrame:
-    """STARTED events for requested (run, table) pairs the log does not know yet."""
-    fresh = requests.join(log.select(*RUN_KEYS), list(RUN_KEYS), "left_anti")
-    return (
-        fresh.groupBy(*RUN_KEYS)
-        .agg(F.min_by(F.struct("batch_id", "seq", "event_at_utc"), F.struct("event_at_utc", "seq")).alias("_first"))
-        .select(*RUN_KEYS, "_first.batch_id", "_first.seq", F.lit(STARTED).alias("status"), "_first.event_at_utc")
+    """STARTED events for requested (run, table) pairs the log does not know yet.
+
+    Repeated requests are reduced to the first one before the log is consulted.
+    """
+    first = requests.groupBy(*RUN_KEYS).agg(
+        F.min_by(F.struct("batch_id", "seq", "event_at_utc"), F.struct("event_at_utc", "seq")).alias("_first")
+    )
+    fresh = first.join(log.select(*RUN_KEYS).distinct(), list(RUN_KEYS), "left_anti")
+    return fresh.select(
+        *RUN_KEYS, "_first.batch_id", "_first.seq", F.lit(STARTED).alias("status"), "_first.event_at_utc"
     )
 
 
@@ -88,14 +93,14 @@ def latest_state(events: DataFrame, keys: Sequence[str] = RUN_KEYS, order: str =
     return newest.select(*keys, *[F.col("_newest")[c].alias(c) for c in rest])
 
 
-def without_start(log: DataFrame, finished: DataFrame) -> DataFrame:
+def without_start(log: DataFrame, finished: DataFrame, buckets: int = 8) -> DataFrame:
     """Completions of (run, table) pairs the log never saw; must be empty."""
-    return finished.join(log.select(*RUN_KEYS), list(RUN_KEYS), "left_anti")
+    return salted_lookup(finished, log.select(*RUN_KEYS).distinct(), RUN_KEYS, ["seq"], buckets, how="left_anti")
 
 
-def complete_runs(log: DataFrame, completions: DataFrame) -> DataFrame:
+def complete_runs(log: DataFrame, completions: DataFrame, buckets: int = 8) -> DataFrame:
     """SUCCEEDED events, with their measures and no error, for pairs in the log."""
-    known = completions.join(log.select(*RUN_KEYS), list(RUN_KEYS), "left_semi")
+    known = salted_lookup(completions, log.select(*RUN_KEYS).distinct(), RUN_KEYS, ["seq"], buckets, how="left_semi")
     return known.select(
         *RUN_KEYS, "batch_id", "seq", F.lit(SUCCEEDED).alias("status"), "event_at_utc", "rows_read", "rows_copied",
         "bytes_written", "duration_seconds", "output_path", F.lit(None).cast("string").alias("error_message"),

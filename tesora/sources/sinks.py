@@ -44,10 +44,16 @@ def write_version(df: DataFrame, root: str, schema: str, table: str, run_id: str
 
 
 def publish_version(spark: SparkSession, schema: str, table: str, path: str) -> None:
-    """Point the table at a written version. Only metadata changes, so readers
-    see the old or the new snapshot, whatever columns either has."""
-    spark.sql(f"DROP TABLE IF EXISTS {schema}.{table}")
-    spark.sql(f"CREATE TABLE {schema}.{table} USING parquet LOCATION '{path}'")
+    """Point the table at a written version. Only metadata changes: readers see
+    the old or the new snapshot. A table whose columns changed is declared anew."""
+    name = f"{schema}.{table}"
+    if spark.catalog.tableExists(name):
+        if spark.table(name).schema == spark.read.parquet(path).schema:
+            spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
+            spark.catalog.refreshTable(name)
+            return
+        spark.sql(f"DROP TABLE {name}")
+    spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{path}'")
 
 
 def append_rows(df: DataFrame, root: str, schema: str, table: str, columns: Sequence[str]) -> None:
@@ -58,11 +64,16 @@ def append_rows(df: DataFrame, root: str, schema: str, table: str, columns: Sequ
     spark.catalog.refreshTable(f"{schema}.{table}")
 
 
-def export_tables(frames: Mapping[str, DataFrame], out: str, formats: Sequence[str] = ("csv", "parquet")) -> None:
-    """Each table as CSV (header, comma, ISO dates) and/or snappy Parquet."""
+def export_tables(
+    frames: Mapping[str, DataFrame],
+    out: str,
+    formats: Sequence[str] = ("csv", "parquet"),
+    rows_per_file: int = 1_000_000,
+) -> None:
+    """Each table as CSV (header, comma, ISO dates) and/or snappy Parquet, in files of bounded size."""
     for name, df in frames.items():
         for kind in formats:
-            target = df.write.mode("overwrite")
+            target = df.write.mode("overwrite").option("maxRecordsPerFile", rows_per_file)
             path = f"{out.rstrip('/')}/{kind}/{name}"
             if kind == "csv":
                 target.option("header", True).option("encoding", "UTF-8").option("dateFormat", "yyyy-MM-dd").csv(path)
@@ -77,8 +88,8 @@ def manifest(
 ) -> DataFrame:
     """One row per exported file: rows, columns and SHA-256 of its bytes.
 
-    A digest needs the bytes of its file in one task; Spark's writers split an
-    export into files of ordinary size, which bounds that.
+    A digest needs the bytes of its file in one task; exports bound the rows of
+    a file for that reason.
     """
     parts = []
     for name, names in columns.items():
