@@ -52,10 +52,11 @@ def daily_history(movements: DataFrame, client: str, day: str, amount: str, days
 
 
 def attach_history(
-    movements: DataFrame, history: DataFrame, client: str = "id_cli", day: str = "fec_mov"
+    movements: DataFrame, history: DataFrame, in_period: str, client: str = "id_cli", day: str = "fec_mov"
 ) -> DataFrame:
     """Give each movement the history of its client and day; none outside the period."""
-    return movements.join(history, [client, day], "left")
+    joined = movements.join(history, [client, day], "left")
+    return joined.withColumns({name: F.when(F.col(in_period), F.col(name)) for name in (MEAN, DEVIATION, SAMPLES)})
 
 
 def flag_outlier(df: DataFrame, in_period: str, amount: str, sigmas: int = 3, min_samples: int = 2) -> DataFrame:

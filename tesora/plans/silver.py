@@ -74,7 +74,7 @@ def movement_history(movements: DataFrame, cfg: LakeConfig) -> DataFrame:
 
 
 def with_history(movements: DataFrame, history: DataFrame, cfg: LakeConfig) -> DataFrame:
-    attached = attach_history(movements, history)
+    attached = attach_history(movements, history, IN_PERIOD)
     flagged = flag_outlier(attached, IN_PERIOD, "vr_mov", cfg.outlier_sigmas, cfg.outlier_min_history)
     return round_history(flagged)
 
