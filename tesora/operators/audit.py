@@ -228,17 +228,19 @@ def latest_runs(metrics: DataFrame, n: int = 2) -> DataFrame:
 
 def pii_scan(layers: Mapping[str, Mapping[str, DataFrame]]) -> DataFrame:
     """Per layer: personal columns exposed, protected ones, tables looked at, and
-    how many rows the exposing tables hold."""
+    how many rows the exposing tables hold.
+
+    Schemas decide; only a table that exposes something is read, for its count.
+    """
     parts = []
     for layer, tables in layers.items():
         for name, df in tables.items():
+            exposes = any(c.lower() in PERSONAL_COLUMNS for c in df.columns)
+            rows = df.agg(F.count("*").alias("filas")) if exposes else df.sparkSession.range(1).selectExpr("0L AS filas")
             columns = F.array(*[F.lit(c) for c in df.columns])
             parts.append(
-                df.agg(F.count("*").alias("filas")).select(
-                    F.lit(layer).alias("capa"),
-                    F.lit(name).alias("tabla"),
-                    "filas",
-                    F.explode(columns).alias("columna"),
+                rows.select(
+                    F.lit(layer).alias("capa"), F.lit(name).alias("tabla"), "filas", F.explode(columns).alias("columna")
                 )
             )
     personal = F.lower("columna").isin(*PERSONAL_COLUMNS)

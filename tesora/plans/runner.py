@@ -8,7 +8,7 @@ snapshot published and a repeated one overwrites its own leftovers.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tesora.config import CLIENTES, COMISIONES, MOVIMIENTOS, OBLIGACIONES, PRODUCTOS, SUCURSALES, UNKNOWN_CHANNEL, LakeConfig, RunContext
 from tesora.operators import audit, rules
 from tesora.plans import gold, silver
-from tesora.sources import bronze, sinks
+from tesora.sources import bronze, control, extract, sinks
 
 SILVER_METRICS = ("run_id", "table_name", "bronze_rows", "silver_rows", "quarantined_rows", "processed_at_utc")
 GOLD_METRICS = ("run_id", "table_name", "table_type", "row_count", "processed_at_utc")
@@ -29,6 +29,73 @@ class LayerResult:
     metrics: DataFrame
 
 
+@dataclass(frozen=True)
+class BronzeResult:
+    log: DataFrame
+    errors: DataFrame
+    config: DataFrame
+
+
+def run_bronze(
+    spark: SparkSession,
+    sources: Mapping[str, Callable[[], DataFrame | None]],
+    config: DataFrame,
+    cfg: LakeConfig,
+    run: RunContext,
+    feeds: Mapping[str, extract.ChangeFeed] | None = None,
+) -> BronzeResult:
+    """Extract and land every active table, log each outcome, advance progress.
+
+    A table that fails is logged and leaves its progress where it was; the
+    others go on. Files land before progress moves, so a crash in between means
+    the same rows again, which deduplication absorbs. Only the configuration
+    (a row per table) and one log row per event pass through the driver.
+    """
+    events, errors, done = [], [], []
+    base = int(run.as_of.timestamp()) * 1_000
+
+    def event(table: str, status: str, **values: object) -> None:
+        known = {"pipeline_run_id": run.run_id, "batch_id": run.batch, "source_table": table, "status": status}
+        events.append({**known, "seq": base + len(events), "event_at_utc": run.as_of, **values})
+
+    for row in control.active_specs(config).collect():
+        table = row["source_table"]
+        spec = cfg.specs.get(table.lower())
+        state = extract.LoadState(
+            strategy=row["load_strategy"],
+            initial_load_completed=row["initial_load_completed"],
+            last_change_version=row["last_change_version"],
+            last_watermark_value=row["last_watermark_value"],
+        )
+        event(table, control.STARTED)
+        try:
+            if spec is None:
+                raise extract.ExtractError("SOURCE_MISSING", f"{table} is configured but not known")
+            delta = extract.plan_extract(spec, state, sources[spec.name], (feeds or {}).get(spec.name))
+            path = bronze.land_bronze(delta.rows.select(*spec.columns), f"{cfg.root}/bronze", spec, cfg, run)
+            copied = spark.read.parquet(path).count()
+            size = spark.read.format("binaryFile").load(path).agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+        except Exception as error:  # recorded for this table; the run goes on
+            code = getattr(error, "code", type(error).__name__)
+            event(table, control.FAILED, error_message=str(error)[:2000])
+            errors.append((run.run_id, run.batch, table, "land_bronze", code, str(error)[:2000], repr(error), run.as_of))
+            continue
+        event(table, control.SUCCEEDED, rows_read=copied, rows_copied=copied, bytes_written=size, output_path=path)
+        done.append((table, delta.bound, base + len(events)))
+
+    fields = [f.split()[0] for f in control.LOG_SCHEMA.split(", ")]
+    log = spark.createDataFrame([tuple(e.get(f) for f in fields) for e in events], control.LOG_SCHEMA)
+    failures = spark.createDataFrame(errors, control.ERROR_SCHEMA)
+    bounds = spark.createDataFrame(done, "source_table string, new_watermark bigint, seq bigint")
+    versions = Versions(spark, cfg.root, run)
+    advanced = versions.write(control.advance_progress(config, bounds, run.as_of), "ctl", "ingestion_config")
+    sinks.ensure_namespaces(spark, cfg.root)
+    sinks.append_rows(log, cfg.root, "ctl", "pipeline_run_log", log.columns)
+    sinks.append_rows(failures, cfg.root, "ctl", "pipeline_error", failures.columns)
+    versions.publish()
+    return BronzeResult(log, failures, advanced)
+
+
 def landed(spark: SparkSession, cfg: LakeConfig) -> dict[str, DataFrame]:
     return {name: bronze.read_bronze(spark, f"{cfg.root}/bronze", spec) for name, spec in cfg.specs.items()}
 

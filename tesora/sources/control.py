@@ -35,6 +35,10 @@ ERROR_SCHEMA = (
 )
 
 
+class ControlError(RuntimeError):
+    pass
+
+
 def active_specs(config: DataFrame) -> DataFrame:
     return config.where("is_active").drop("is_active", "updated_at_utc").orderBy("source_table")
 
@@ -98,6 +102,11 @@ def without_start(log: DataFrame, finished: DataFrame, buckets: int = 8) -> Data
     return salted_lookup(finished, log.select(*RUN_KEYS).distinct(), RUN_KEYS, ["seq"], buckets, how="left_anti")
 
 
+def assert_started(log: DataFrame, finished: DataFrame) -> None:
+    if not without_start(log, finished).isEmpty():
+        raise ControlError("no STARTED entry for a completed table and run")
+
+
 def complete_runs(log: DataFrame, completions: DataFrame, buckets: int = 8) -> DataFrame:
     """SUCCEEDED events, with their measures and no error, for pairs in the log."""
     known = salted_lookup(completions, log.select(*RUN_KEYS).distinct(), RUN_KEYS, ["seq"], buckets, how="left_semi")

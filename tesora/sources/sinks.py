@@ -12,6 +12,7 @@ from pyspark.sql.types import DoubleType, FloatType
 from tesora.config import LOAD_ORDER, SPECS, TableSpec
 
 NAMESPACES = {
+    "ctl": "Ingestion configuration, run log and errors",
     "bronze": "Immutable source files",
     "silver": "Cleansed and screened tables",
     "quality": "Quarantine and run metrics",
@@ -162,3 +163,27 @@ def jdbc_writer(url: str, batch_size: int = 5_000, partitions: int = 8, **proper
         normalize(df, SPECS[name]).write.format("jdbc").options(**options, **properties).mode("append").save()
 
     return write
+
+
+def load_jdbc(
+    spark: SparkSession,
+    frames: Mapping[str, DataFrame],
+    url: str,
+    replace: bool = False,
+    batch_size: int = 5_000,
+    **properties: str,
+) -> dict[str, int]:
+    """:func:`load_tables` into a relational database, rows cleared first on request."""
+
+    def connected(reader_or_writer, name: str):
+        return reader_or_writer.format("jdbc").options(url=url, dbtable=name, **properties)
+
+    def count(name: str) -> int:
+        return connected(spark.read, name).load().agg(F.count("*")).first()[0]
+
+    def clear(name: str) -> None:
+        nothing = spark.createDataFrame([], SPECS[name].ddl)
+        connected(nothing.write, name).option("truncate", "true").mode("overwrite").save()
+
+    write = jdbc_writer(url, batch_size, **properties)
+    return load_tables(frames, write, count, clear if replace else None)

@@ -11,7 +11,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from tesora.config import LakeConfig, RunContext  # noqa: E402
 from tesora.session import build_session  # noqa: E402
 
-SMOKE, SMALL = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
+SMOKE = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
@@ -21,7 +21,7 @@ def spark(tmp_path_factory):
         "tests",
         "local[8]",
         **{
-            "spark.sql.shuffle.partitions": "8",
+            "spark.sql.shuffle.partitions": "4",
             "spark.driver.memory": "8g",
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
