@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from tesora.functions.columns import record_hash
+from tesora.operators.skew import salted_lookup
 
 
 def standardize(df: DataFrame, uppercase: Sequence[str] = ()) -> DataFrame:
@@ -42,27 +43,29 @@ def keep_latest(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
     )
 
 
-def tag_latest(df: DataFrame, key: str, order: Sequence[str], flag: str = "_is_latest") -> DataFrame:
+def tag_latest(
+    df: DataFrame, key: str, order: Sequence[str], flag: str = "_is_latest", buckets: int = 32
+) -> DataFrame:
     """Every row, with a flag that is true for the latest row of its key.
 
     Copies must all survive here (they are audited), so ranking them in a
-    window would put a whole group in one task. Instead the winner of each key
-    is found by an aggregate, which shrinks on the map side, and matched to its
-    row by the full identity (key and order columns). That identity differs
-    from row to row, so even a third of the table under one key spreads evenly.
-    ``order`` must be total within a key, as arrival order is.
+    window would put a whole group in one task. Instead an aggregate, which
+    shrinks on the map side, finds the keys that repeat and the newest position
+    of each; rows look their key up, spread by their own position, and compare.
+    Where few keys repeat, that lookup is small enough for Spark to broadcast
+    and the rows are not moved at all. ``order`` must be total within a key, as
+    arrival order is.
     """
-    winner = (
+    position = F.struct(*order)
+    repeated = (
         df.where(F.col(key).isNotNull())
         .groupBy(key)
-        .agg(F.max(F.struct(*order)).alias("_newest"))
-        .select(F.col(key).alias("_w_key"), *[F.col("_newest")[c].alias(f"_w_{c}") for c in order])
+        .agg(F.max(position).alias("_newest"), F.count("*").alias("_copies"))
+        .where("_copies > 1")
+        .select(key, "_newest")
     )
-    same_row = F.col(key) == F.col("_w_key")
-    for column in order:
-        same_row = same_row & F.col(column).eqNullSafe(F.col(f"_w_{column}"))
-    matched = df.join(winner, same_row, "left").withColumn(flag, F.col("_w_key").isNotNull())
-    return matched.drop("_w_key", *[f"_w_{c}" for c in order])
+    latest = F.col(key).isNotNull() & (F.col("_newest").isNull() | (F.col("_newest") == position))
+    return salted_lookup(df, repeated, [key], order, buckets).withColumn(flag, latest).drop("_newest")
 
 
 def dedupe_latest(df: DataFrame, key: str, order: Sequence[str]) -> tuple[DataFrame, DataFrame]:

@@ -68,16 +68,31 @@ def test_copies_of_a_hot_key_are_cut_on_the_map_side(spark):
     assert "WindowGroupLimit" in plan and "Partial" in plan
 
 
-def test_tagging_uses_no_window_and_spreads_by_identity(spark):
+def test_tagging_ranks_nothing_and_looks_up_only_repeated_keys(spark):
     df = spark.createDataFrame(copies(), SCHEMA)
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    plan = cleanse.tag_latest(df, "k", ORDER)._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "_salt" in plan and "(_copies" in plan
+
+
+def test_hot_copies_are_spread(spark):
+    """A third of all rows under one key, every one of them tagged and none in a crowd."""
+    data = spark.range(30_000).select(
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 5_000).cast("int").alias("k"), F.lit("v").alias("v"),
+        F.lit(1).alias("_at"), F.lit("f").alias("_file"), F.col("id").alias("_pos"),
+    )
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "8"}
+    previous = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
     try:
-        plan = cleanse.tag_latest(df, "k", ORDER)._jdf.queryExecution().executedPlan().toString()
+        tagged = cleanse.tag_latest(data, "k", ORDER)
+        sizes = [r["n"] for r in tagged.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
     finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert "Window" not in plan
-    joins = [line for line in plan.splitlines() if "SortMergeJoin" in line]
-    assert joins and all("_pos" in line for line in joins)
+        for name, value in previous.items():
+            spark.conf.set(name, value) if value is not None else spark.conf.unset(name)
+    assert sum(sizes) == 30_000 and max(sizes) < 30_000 / 8 * 2
+    assert tagged.where("_is_latest").count() == data.select("k").distinct().count()
+    assert tagged.where("_is_latest AND k = 0").first()["_pos"] == 29_997
 
 
 def test_hash_added_once(spark):
