@@ -44,7 +44,7 @@ def keep_latest(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
 
 
 def tag_latest(
-    df: DataFrame, key: str, order: Sequence[str], flag: str = "_is_latest", buckets: int = 32
+    df: DataFrame, key: str, order: Sequence[str], flag: str = "_is_latest", buckets: int = 16
 ) -> DataFrame:
     """Every row, with a flag that is true for the latest row of its key.
 

@@ -23,7 +23,9 @@ def salted_lookup(
     produces the same rows. The lookup is shuffled on (keys, salt) whatever its
     own partitioning was, which is also the plan shape in which adaptive
     execution can split a still oversized partition; a small lookup is
-    broadcast by Spark on its measured size.
+    broadcast by Spark on its measured size. That size is taken before the
+    repetition, so a broadcast holds at most ``buckets`` times
+    ``spark.sql.autoBroadcastJoinThreshold``; keep ``buckets`` moderate.
     """
     salted = facts.withColumn("_salt", F.pmod(F.xxhash64(*spread_by), F.lit(buckets)).cast("int"))
     repeated = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
