@@ -19,8 +19,8 @@ CHANNELS = "('CLICK', 'VIEW', 'PURCHASE', 'SIGNUP')"
 
 
 def out(source: str, columns: str, tail: str = "") -> str:
-    """SELECT columns from a source; ``name:d`` is read as DOUBLE, ``name:b`` as BIGINT."""
-    kinds = {"d": "DOUBLE", "b": "BIGINT"}
+    """SELECT columns from a source; ``name:d`` is read as DOUBLE, ``name:b`` as BIGINT, ``name:s`` as text."""
+    kinds = {"d": "DOUBLE", "b": "BIGINT", "s": "VARCHAR"}
     items = []
     for token in columns.split():
         name, _, kind = token.partition(":")
@@ -49,21 +49,23 @@ MOV_SILVER = MOV + " cod_canal_original ind_fecha_rango_valido ind_canal_valido
 OBL_SILVER = OBL + " ind_montos_consistentes ind_fechas_consistentes"
 
 TYPED = {
-    "id_cli": "b", "score_buro": "b", "tasa_ea": "d", "plazo_max_meses": "b", "cuota_min": "d", "comision_admin": "d",
+    "id_cli": "b", "score_buro": "d", "tasa_ea": "d", "plazo_max_meses": "b", "cuota_min": "d", "comision_admin": "d",
     "latitud": "d", "longitud": "d", "id_mov": "b", "vr_mov": "d", "id_oblig": "b", "vr_aprobado": "d",
     "vr_desembolsado": "d", "sdo_capital": "d", "vr_cuota": "d", "dias_mora_act": "b", "num_cuotas_pend": "b",
-    "id_comision": "b", "vr_comision": "d", "promedio_vr_mov_30d": "d", "desv_vr_mov_30d": "d", "cantidad_mov_30d": "b",
+    "id_comision": "b", "vr_comision": "d", "promedio_vr_mov_30d": "d", "desv_vr_mov_30d": "d", "cantidad_mov_30d": "d",
     "cliente_key": "b", "edad_fecha_corte": "b", "fecha_alta_key": "b", "fecha_key": "b", "fecha_desembolso_key": "b",
     "fecha_venc_key": "b",
+    "fec_nac": "s", "fec_alta": "s", "fec_mov": "s", "fec_desembolso": "s", "fec_venc": "s", "fec_cobro": "s",
+    "fecha_corte": "s",
     "cantidad_movimientos": "b", "valor_total_movimientos": "d", "valor_promedio_movimiento": "d",
-    "movimientos_sospechosos": "b", "productos_con_movimiento": "b", "ultima_fecha_movimiento_key": "b",
+    "movimientos_sospechosos": "b", "productos_con_movimiento": "b", "ultima_fecha_movimiento_key": "d",
     "cantidad_obligaciones": "b", "valor_total_aprobado": "d", "saldo_total_capital": "d", "obligaciones_en_mora": "b",
     "max_dias_mora": "b", "cantidad_comisiones": "b", "valor_total_comisiones": "d", "clientes_con_movimientos": "b",
     "valor_total_desembolsado": "d", "porcentaje_movimientos_sospechosos": "d", "porcentaje_obligaciones_en_mora": "d",
     "total_clientes": "b", "clientes_activos": "b", "total_movimientos": "b", "total_obligaciones": "b",
     "saldo_total_cartera": "d", "total_comisiones": "b", "ingreso_total_comisiones": "d",
     "rows_read": "b", "rows_copied": "b", "bytes_written": "b", "duration_seconds": "b", "seq": "b",
-    "last_change_version": "b", "last_watermark_value": "b", "row_count": "b",
+    "last_change_version": "d", "last_watermark_value": "d", "row_count": "b",
     "bronze_rows": "b", "silver_rows": "b", "quarantined_rows": "b",
 }
 
@@ -352,7 +354,7 @@ BODIES: dict[str, str] = {
         FROM c_client_changes WHERE version > 4) n WHERE n.rk = 1 AND n.version <= 8 AND n.op IN ('I', 'U') AND n.id_cli = s.id_cli)""",
     ),
     "bronze_land_roundtrip": typed("src_mov", MOV),
-    "bronze_read": "SELECT CAST(lote AS VARCHAR) AS lote, CAST(DATE '2024-02-01' + (lote - 1) AS DATE) AS dia, count(*) AS filas, count(*) AS posiciones FROM src_mov GROUP BY lote",
+    "bronze_read": "SELECT CAST(lote AS VARCHAR) AS lote, CAST(CAST(DATE '2024-02-01' + (lote - 1) AS DATE) AS VARCHAR) AS dia, count(*) AS filas, count(*) AS posiciones FROM src_mov GROUP BY lote",
     "bronze_stream_available_now": typed("src_mov", MOV),
     "export_manifest": " UNION ALL ".join(
         f"SELECT '{name}' AS table_name, fmt AS format, '{columns.replace(' ', ',')}' AS columns, count(*) AS filas, true AS huellas_validas FROM {source} JOIN (SELECT unnest(['csv', 'parquet']) AS fmt) formats ON true GROUP BY fmt"
@@ -377,7 +379,7 @@ BODIES: dict[str, str] = {
       CASE WHEN s.source_table IS NULL THEN t.load_strategy ELSE s.load_strategy END AS load_strategy,
       CASE WHEN s.source_table IS NULL THEN t.primary_key_column ELSE s.primary_key_column END AS primary_key_column,
       CASE WHEN s.source_table IS NULL THEN t.watermark_column ELSE s.watermark_column END AS watermark_column,
-      CAST(last_change_version AS BIGINT) AS last_change_version, CAST(last_watermark_value AS BIGINT) AS last_watermark_value,
+      CAST(last_change_version AS DOUBLE) AS last_change_version, CAST(last_watermark_value AS DOUBLE) AS last_watermark_value,
       coalesce(initial_load_completed, false) AS initial_load_completed, s.source_table IS NOT NULL OR is_active AS is_active
       FROM c_config t FULL OUTER JOIN c_config_changes s ON t.source_schema = s.source_schema AND t.source_table = s.source_table""",
     "ctl_run_start": f"""SELECT {LOG_KEYS.replace(' ', ', ')}, status, event_at_utc FROM (SELECT *, row_number() OVER (PARTITION BY pipeline_run_id, source_table ORDER BY event_at_utc, seq) AS rk
@@ -387,8 +389,8 @@ BODIES: dict[str, str] = {
         "WHERE status = 'SUCCEEDED' AND EXISTS (SELECT 1 FROM c_run_log k WHERE k.status = 'STARTED' AND k.pipeline_run_id = r.pipeline_run_id AND k.source_table = r.source_table)",
     ).replace(" FROM c_run_log r", ", CAST(NULL AS VARCHAR) AS error_message FROM c_run_log r", 1),
     "ctl_run_progress": """SELECT source_schema, source_table, load_strategy, primary_key_column, watermark_column,
-      CAST(CASE WHEN is_active AND mark IS NOT NULL AND load_strategy = 'CHANGE_TRACKING' THEN mark ELSE last_change_version END AS BIGINT) AS last_change_version,
-      CAST(CASE WHEN is_active AND mark IS NOT NULL AND load_strategy = 'APPEND_WATERMARK' THEN mark ELSE last_watermark_value END AS BIGINT) AS last_watermark_value,
+      CAST(CASE WHEN is_active AND mark IS NOT NULL AND load_strategy = 'CHANGE_TRACKING' THEN mark ELSE last_change_version END AS DOUBLE) AS last_change_version,
+      CAST(CASE WHEN is_active AND mark IS NOT NULL AND load_strategy = 'APPEND_WATERMARK' THEN mark ELSE last_watermark_value END AS DOUBLE) AS last_watermark_value,
       initial_load_completed OR (is_active AND mark IS NOT NULL) AS initial_load_completed, is_active
       FROM c_config c LEFT JOIN (SELECT source_table AS t, new_watermark AS mark FROM (SELECT *, row_number() OVER (PARTITION BY source_table ORDER BY seq DESC) AS rk
       FROM c_run_log WHERE status = 'SUCCEEDED') x WHERE rk = 1) m ON c.source_table = m.t""",
@@ -428,8 +430,8 @@ BODIES: dict[str, str] = {
     "silver_obligaciones": typed("sil_obl", OBL_SILVER + " _record_hash"),
     "silver_comisiones": typed("sil_com", COM + " _record_hash"),
     "silver_movimientos": typed("sil_mov", MOV_SILVER + " _record_hash"),
-    "date_bounds": out("g_bounds", "min_fecha max_fecha"),
-    "dim_fecha": out("g_fecha", "fecha_key:b fecha anio:b trimestre:b mes:b nombre_mes semana_anio:b dia_mes:b dia_semana:b nombre_dia es_fin_semana"),
+    "date_bounds": out("g_bounds", "min_fecha:s max_fecha:s"),
+    "dim_fecha": out("g_fecha", "fecha_key:b fecha:s anio:b trimestre:b mes:b nombre_mes semana_anio:b dia_mes:b dia_semana:b nombre_dia es_fin_semana"),
     "dim_cliente": typed("g_cliente", DIM_CLI),
     "dim_producto": typed("g_producto", DIM_PRO),
     "dim_sucursal": typed("g_sucursal", "sucursal_key nom_suc tip_punto ciudad depto latitud longitud activo _record_hash"),
@@ -482,7 +484,7 @@ BODIES: dict[str, str] = {
         for label, fact in (("movimientos", "sil_mov"), ("obligaciones", "sil_obl"), ("comisiones", "sil_com"))
         for what, dim, fk in (("cliente", "sil_cli", "id_cli"), ("producto", "sil_pro", "cod_prod"))
     ),
-    "report_suspicious_top20": typed("sil_mov", "id_mov id_cli fec_mov vr_mov promedio_vr_mov_30d desv_vr_mov_30d cantidad_mov_30d ind_sospechoso", "WHERE ind_sospechoso ORDER BY fec_mov DESC, sil_mov.vr_mov DESC, sil_mov.id_mov LIMIT 20"),
+    "report_suspicious_top20": typed("sil_mov", "id_mov id_cli fec_mov vr_mov promedio_vr_mov_30d desv_vr_mov_30d cantidad_mov_30d ind_sospechoso", "WHERE ind_sospechoso ORDER BY sil_mov.fec_mov DESC, sil_mov.vr_mov DESC, sil_mov.id_mov LIMIT 20"),
     "report_gold_counts": counts(GOLDS),
     "report_kpi": typed("m_kpi", " ".join(c for c in KPI.split() if c not in ("valor_total_movimientos", "total_comisiones"))),
     "report_gold_integrity": orphan_list(star_relations("f_mov", "f_obl", "f_com")),

@@ -1,7 +1,8 @@
 """Every registered query over the bound tables.
 
 Results keep their exact types up to :func:`present`, which renders decimals as
-doubles and integers as bigints so that two engines can be compared.
+doubles, integers as bigints and dates as ISO text so that two engines compare
+alike through any client.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ByteType, DecimalType, IntegerType, ShortType, StructField
+from pyspark.sql.types import ByteType, DateType, DecimalType, IntegerType, ShortType, StructField
 
 from tesora.config import (
     CLIENTES,
@@ -40,13 +41,21 @@ TECHNICAL_OUTPUT = (
 )
 
 
+# Integers that may be absent; pandas has no null bigint, so they go as doubles.
+SPARSE_INTEGERS = (
+    "score_buro", "ultima_fecha_movimiento_key", "cantidad_mov_30d", "last_change_version", "last_watermark_value",
+)
+
+
 def present(df: DataFrame) -> DataFrame:
     def rendered(field: StructField) -> str:
         name, kind = f"`{field.name}`", field.dataType
-        if isinstance(kind, DecimalType):
+        if isinstance(kind, DecimalType) or field.name in SPARSE_INTEGERS:
             return f"cast({name} AS double) AS {name}"
         if isinstance(kind, (ByteType, ShortType, IntegerType)):
             return f"cast({name} AS bigint) AS {name}"
+        if isinstance(kind, DateType):
+            return f"cast({name} AS string) AS {name}"
         return name
 
     return df.selectExpr(*[rendered(f) for f in df.schema.fields if f.name not in TECHNICAL_OUTPUT])
