@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tesora.llm import bitplane, sharding, token_counts
-from tesora.llm.common import text_of
+from tesora.llm import bitplane, mixing, quality, sharding, token_counts
+from tesora.llm.common import n_words_of, stored, text_of
 
 
 def vocabulary(name: str = "word_bpe_49k.json") -> str:
@@ -27,6 +27,19 @@ def op1_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with their source's target and the words that the mix takes of them."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", n_words_of().alias("n_words"))
+    placed, sources = mixing.place(docs, F.col("n_words"))
+    placed = stored(placed.select("doc_id", "source_index", "size", "begin"), "mix")
+    got = mixing.with_targets(mixing.taken(placed, mixing.mix(placed, sources)), sources)
+    return got.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op4_quality_discriminant(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), vocabulary())
 
