@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tesora.llm import bitplane, mixing, quality, sharding, token_counts
+from tesora.llm import bitplane, mixing, quality, sharding, token_counts, topk
 from tesora.llm.common import n_words_of, stored, text_of
 
 
@@ -58,10 +58,31 @@ def op8_ring_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_norm_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five best of all embeddings for every fiftieth."""
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, 5)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {name: f for name, f in globals().items() if name.startswith("op")}
     return dict(sorted(found.items(), key=lambda x: int(x[0][2:].split("_")[0])))
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op10_norm_buckets": NEAREST}
+
+
+NEAREST = """
+WITH sound AS (
+    SELECT vec_id, [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id,
+           CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+    FROM sound q JOIN sound c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id AND len(c.v) = len(q.v)
+)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM scored
+QUALIFY rank <= 5
+"""
