@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tesora.llm import bitplane, mixing, quality, sharding, token_counts, topk
+from tesora.llm import bitplane, mixing, near_dup, quality, sharding, token_counts, topk
 from tesora.llm.common import n_words_of, stored, text_of
 
 
@@ -44,6 +44,10 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), vocabulary())
 
 
+def op7_minhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents"), width=2)
+
+
 def op8_ring_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 24 shards whose row counts differ by one at most."""
     docs = table(spark, sf_dir, "documents")
