@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tesora.llm import bitplane, mixing, near_dup, quality, sharding, token_counts, topk
+from tesora.llm import bitplane, decontaminate, mixing, near_dup, quality, sharding, token_counts, topk
 from tesora.llm.common import n_words_of, stored, text_of
 
 
@@ -44,6 +44,12 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), vocabulary())
 
 
+def op6_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document and benchmark item that share a passage."""
+    found = decontaminate.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.drop("row_key")
+
+
 def op7_minhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"), width=2)
 
