@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tesora.llm import bitplane, decontaminate, mixing, near_dup, quality, sharding, token_counts, topk
+from tesora.llm import bitplane, decontaminate, mixing, near_dup, quality, sharding, substrings, token_counts, topk
 from tesora.llm.common import n_words_of, stored, text_of
 
 
@@ -68,6 +68,10 @@ def op8_ring_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.removal_digests(table(spark, sf_dir, "documents"))
+
+
 def op10_norm_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Five best of all embeddings for every fiftieth."""
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, 5)
