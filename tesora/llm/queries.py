@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tesora.llm import bitplane, decontaminate, mixing, near_dup, quality, sharding, substrings, token_counts, topk
+from tesora.llm import bitplane, decontaminate, line_dedup, mixing, near_dup, quality, sharding, substrings, token_counts, topk
 from tesora.llm.common import n_words_of, stored, text_of
 
 
@@ -27,6 +27,12 @@ def op1_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op2_simhash_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of every document that repeat an earlier line, exactly or nearly."""
+    found = line_dedup.removed_lines(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", F.size("removed").cast("long").alias("n_removed"), "removed")
+
+
 def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents with their source's target and the words that the mix takes of them."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", n_words_of().alias("n_words"))
