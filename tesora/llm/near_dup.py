@@ -260,3 +260,13 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     found = signed.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.col("key")).alias("key")).join(classes, "key", "left")
     own = F.coalesce("component_id", "doc_id")
     return found.select("doc_id", "n_shingles", own.alias("component_id"), F.coalesce(own == F.col("doc_id"), F.lit(True)).alias("kept"))
+
+
+def drop_copies(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs``, all columns, without the documents that a smaller doc_id of their component stands for.
+
+    A doc_id goes with all its rows as soon as one of its texts is such a copy; rows that are repeated whole all stay.
+    """
+    copies = stored(near_duplicates(docs, width, percent).filter("NOT kept").select(F.col("doc_id").alias("__copy")).distinct(), "copies")
+    named = F.broadcast(copies) if copies.count() <= FEW else copies
+    return docs.join(named, F.col("doc_id").cast("long") == F.col("__copy"), "left_anti")

@@ -181,3 +181,16 @@ def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, **setti
     return score(features, model).select(
         "doc_id", held_out().alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted")
     )
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, **settings: float) -> DataFrame:
+    """The rows of ``docs``, all columns, with a score of ``threshold`` or more. Rows are scored where they are read: no join moves a text."""
+    model = learn(stored(featurize(docs), "quality"), labels, **settings)
+
+    def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in source:
+            x = [statistics(text or b"") for text in batch.column("text").cast(pa.binary()).to_pylist()]
+            if x:
+                yield batch.filter(pa.array(np.round(model.scores(np.array(x)), 9) >= threshold))
+
+    return docs.mapInArrow(batches, docs.schema)
