@@ -32,7 +32,7 @@ from tesora.llm.token_counts import pre_tokens
 
 BLOCK = 65_536
 CHUNK = 4 * BLOCK
-CACHE = 400_000
+CACHE = 800_000
 CHUNKS = (
     "shard int, chunk int, first long, n_ids long, planes string, doc_ids array<long>, lengths array<long>,"
     " blocks array<long>, bytes binary"
@@ -83,6 +83,9 @@ def unpack(data: bytes, begins: list[int], n: int, planes: str = "bytes", lo: in
     return ids[lo - wanted[0] * block : hi - wanted[0] * block]
 
 
+_MARKS = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum())
+
+
 class Ids(dict):
     """Ids of words (bytes) as little-endian bytes, by the tokenizers library.
 
@@ -107,16 +110,25 @@ class Ids(dict):
         return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def learn(self, words: list[bytes]) -> None:
+        plain: dict[bytes, str] = {}
         cut: dict[bytes, list[str]] = {}
         for word in words:
-            text = unicodedata.normalize("NFC", word.decode())
-            if any(mark in text for mark in self.special) or "Σ" in text:
-                self[word] = self.alone(word.decode())
+            given = word.decode()
+            text = given.lower() if given.isascii() else unicodedata.normalize("NFC", given).lower()
+            if text.isalpha() and "ς" not in text:
+                plain[word] = text  # one pre-token
+            elif any(mark in given for mark in self.special) or "ς" in text:
+                self[word] = self.alone(given)  # special strings, and a letter whose lower case depends on its place
             else:
-                cut[word] = pre_tokens(self.pattern, text.lower())
-        fresh = list({piece for pieces in cut.values() for piece in pieces if piece not in self.pieces})
+                letters = text.rstrip(_MARKS)
+                cut[word] = [letters, text[len(letters) :]] if letters.isalpha() else pre_tokens(self.pattern, text)
+        fresh = {piece for pieces in cut.values() for piece in pieces if piece not in self.pieces}
+        fresh.update(piece for piece in plain.values() if piece not in self.pieces)
+        fresh = list(fresh)
         for i in range(0, len(fresh), 4096):
             self.learn_pieces(fresh[i : i + 4096])
+        for word, piece in plain.items():
+            self[word] = self.pieces[piece]
         for word, pieces in cut.items():
             self[word] = b"".join(map(self.pieces.__getitem__, pieces))
 

@@ -18,7 +18,7 @@ from tesora.llm import bitplane, queries, token_counts
 PATH = public_tokenizers.path("word_bpe_49k.json")
 LIBRARY = Tokenizer.from_file(PATH)
 ODD = [
-    "", None, " \t\n", "Don't we'll I'D", "x<|endoftext|>y <|startoftext|>", "<|endoftext", "café café ÇÉ", "ΣΑΣ ὈΔΥΣΣΕΎΣ",
+    "", None, " \t\n", "Don't we'll I'D", "x<|endoftext|>y <|startoftext|>", "<|endoftext", "<|endoftext|>\u0338", "café café ÇÉ", "ΣΑΣ ὈΔΥΣΣΕΎΣ",
     "a b c\x1cd\x85e", "١٢٣ Ⅷ ² 一二三", "İstanbul ǅ ß", "👩‍👩‍👧 !!??", "thththth" * 300, "wörd " * 5000, "́x", "'s 't 're''ve",
 ]
 
