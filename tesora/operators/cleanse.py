@@ -44,7 +44,7 @@ def keep_latest(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
 
 
 def tag_latest(
-    df: DataFrame, key: str, order: Sequence[str], flag: str = "_is_latest", buckets: int = 16
+    df: DataFrame, key: str, order: Sequence[str], flag: str = "_is_latest", buckets: int = 8
 ) -> DataFrame:
     """Every row, with a flag that is true for the latest row of its key.
 
@@ -52,9 +52,7 @@ def tag_latest(
     window would put a whole group in one task. Instead an aggregate, which
     shrinks on the map side, finds the keys that repeat and the newest position
     of each; rows look their key up, spread by their own position, and compare.
-    Where few keys repeat, that lookup is small enough for Spark to broadcast
-    and the rows are not moved at all. ``order`` must be total within a key, as
-    arrival order is.
+    ``order`` must be total within a key, as arrival order is.
     """
     position = F.struct(*order)
     repeated = (

@@ -8,45 +8,52 @@ from pyspark.sql import functions as F
 MEAN, DEVIATION, SAMPLES = "promedio_vr_mov_30d", "desv_vr_mov_30d", "cantidad_mov_30d"
 
 
+# Amounts of one day are split by their multiple of this, so that the rest is exact in floating point.
+SPAN = 10**10
+
+
 def daily_history(movements: DataFrame, client: str, day: str, amount: str, days: int) -> DataFrame:
     """Mean, sample deviation and count of the ``days`` before each (client, day).
 
     The frame leaves out the day itself, so the statistics depend on client and
     day only. Movements are therefore summed per day first, which happens on
-    the map side; the window then holds at most one row per day of a client,
-    however many movements that client has.
+    the map side; the window then holds the sums of at most ``days`` days.
 
-    Count, sum and sum of squares are exact decimals, and so is
-    n * sum(x^2) - sum(x)^2: no cancellation. Should amounts outgrow 38 digits,
-    the same formula in floating point takes over.
+    One formula serves all sizes. A part (a day's amounts within one SPAN) has
+    its count, its exact sum, and the squared distances from its own mean, which
+    Spark merges stably. The frame adds, for each part, these and the
+    count times the squared distance of the part's mean from the frame's mean, which is taken in
+    exact decimals. All terms are positive, so nothing cancels.
     """
-    square = F.col(amount) * F.col(amount)
-    daily = movements.groupBy(client, day).agg(
+    whole = F.floor(F.col(amount) / SPAN)
+    rest = (F.col(amount) - whole * SPAN).cast("double")
+    parts = movements.groupBy(client, day, whole.alias("_whole")).agg(
         F.count(amount).alias("_n"),
         F.sum(amount).alias("_s1"),
-        F.try_sum(square).alias("_s2"),
-        F.sum(F.col(amount).cast("double") * F.col(amount).cast("double")).alias("_s2_float"),
+        (F.var_pop(rest) * F.count(amount)).alias("_m2"),
     )
     before = Window.partitionBy(client).orderBy(F.unix_date(day)).rangeBetween(-days, -1)
-    totals = daily.select(
+    part = F.when(F.col("_n") > 0, F.struct("_n", "_s1", "_m2"))
+    framed = parts.select(
         client,
         day,
         F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_n"),
         F.sum("_s1").over(before).alias("_s1"),
-        # A day whose squares overflowed must not be skipped by the sum.
-        F.when(F.count_if(F.col("_s2").isNull() & (F.col("_n") > 0)).over(before) == 0, F.try_sum("_s2").over(before)).alias("_s2"),
-        F.sum("_s2_float").over(before).alias("_s2_float"),
-    )
-    n, s1 = F.col("_n"), F.col("_s1")
-    exact = F.try_subtract(F.try_multiply(n.cast("decimal(20,0)"), F.col("_s2")), F.try_multiply(s1, s1)).cast("double")
-    floating = F.greatest(n * F.col("_s2_float") - s1.cast("double") * s1.cast("double"), F.lit(0.0))
-    spread = F.coalesce(exact, floating)
-    pairs = n.cast("double") * (n - 1).cast("double")
-    return totals.select(
+        F.collect_list(part).over(before).alias("_parts"),
+        F.row_number().over(Window.partitionBy(client, day).orderBy("_whole")).alias("_first"),
+    ).where("_first = 1")
+    n, mean = F.col("_n"), F.col("_s1") / F.col("_n")
+
+    def add(total, p):
+        apart = (p["_s1"] / p["_n"] - mean).cast("double")
+        return total + p["_m2"] + p["_n"] * apart * apart
+
+    spread = F.aggregate("_parts", F.lit(0.0), add)
+    return framed.select(
         client,
         day,
-        F.when(n > 0, s1 / n).cast("decimal(22,6)").alias(MEAN),
-        F.when(n > 1, F.sqrt(spread / pairs)).alias(DEVIATION),
+        F.when(n > 0, mean).cast("decimal(22,6)").alias(MEAN),
+        F.when(n > 1, F.sqrt(spread / (n - 1))).alias(DEVIATION),
         n.alias(SAMPLES),
     )
 

@@ -22,11 +22,21 @@ def salted_lookup(
     lookup is repeated once per salt. The hash is repeatable, so a retried task
     produces the same rows. The lookup is shuffled on (keys, salt) whatever its
     own partitioning was, which is also the plan shape in which adaptive
-    execution can split a still oversized partition; a small lookup is
-    broadcast by Spark on its measured size. That size is taken before the
-    repetition, so a broadcast holds at most ``buckets`` times
-    ``spark.sql.autoBroadcastJoinThreshold``; keep ``buckets`` moderate.
+    execution can split a still oversized partition. Spark judges a broadcast
+    by the size before the repetition, so a lookup that passes its limit only
+    once repeated is joined by a merge, whatever the session's settings are.
     """
     salted = facts.withColumn("_salt", F.pmod(F.xxhash64(*spread_by), F.lit(buckets)).cast("int"))
     repeated = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
+    if estimated_bytes(lookup) * buckets > broadcast_limit(lookup):
+        repeated = repeated.hint("merge")
     return salted.join(repeated, [*keys, "_salt"], how).drop("_salt")
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """What Spark's planner takes a table's size to be."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+
+
+def broadcast_limit(df: DataFrame) -> int:
+    return int(df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())

@@ -1,17 +1,21 @@
 """Runs that write: stage, audit, publish.
 
-Every table of a layer is written to a folder of its own version and audited
+Every table of a layer is written to a folder of its own attempt and audited
 there. Only when the whole layer has passed are the tables pointed at the new
-versions, and metrics are appended last, so a failed run leaves the previous
-snapshot published and a repeated one overwrites its own leftovers.
+versions, one after another, and metrics are appended last, once for each run and
+table. A failed run leaves the previous snapshot published, also when it
+repeats the id of the run that published it.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
+from datetime import datetime, timezone
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tesora.config import CLIENTES, COMISIONES, MOVIMIENTOS, OBLIGACIONES, PRODUCTOS, SUCURSALES, UNKNOWN_CHANNEL, LakeConfig, RunContext
@@ -36,6 +40,10 @@ class BronzeResult:
     config: DataFrame
 
 
+def utc_now() -> datetime:
+    return datetime.now(timezone.utc).replace(tzinfo=None)
+
+
 def run_bronze(
     spark: SparkSession,
     sources: Mapping[str, Callable[[], DataFrame | None]],
@@ -43,23 +51,44 @@ def run_bronze(
     cfg: LakeConfig,
     run: RunContext,
     feeds: Mapping[str, extract.ChangeFeed] | None = None,
+    clock: Callable[[], datetime] = utc_now,
 ) -> BronzeResult:
     """Extract and land every active table, log each outcome, advance progress.
 
-    A table that fails is logged and leaves its progress where it was; the
-    others go on. Files land before progress moves, so a crash in between means
-    the same rows again, which deduplication absorbs. Only the configuration
-    (a row per table) and one log row per event pass through the driver.
+    STARTED is stored before anything is copied, once for each (run, table).
+    A pair that the log holds as SUCCEEDED is not copied again, so repeating a
+    run under its id does what is left. Each table lands in a folder of its own
+    attempt; then its outcome is logged, then its progress moves. A crash
+    between these steps means the same rows again with the next run, which
+    deduplication absorbs; it never means missing rows. A table that fails is
+    logged and leaves its progress where it was; the others go on. Only the
+    configuration (a row per table) and one log row per event pass through the
+    driver. ``log`` and ``errors`` of the result are this call's.
     """
-    events, errors, done = [], [], []
-    base = int(run.as_of.timestamp()) * 1_000
-
-    def event(table: str, status: str, **values: object) -> None:
-        known = {"pipeline_run_id": run.run_id, "batch_id": run.batch, "source_table": table, "status": status}
-        events.append({**known, "seq": base + len(events), "event_at_utc": run.as_of, **values})
-
-    for row in control.active_specs(config).collect():
-        table = row["source_table"]
+    sinks.ensure_namespaces(spark, cfg.root)
+    log_table = "ctl.pipeline_run_log"
+    empty = spark.createDataFrame([], control.LOG_SCHEMA)
+    log = spark.table(log_table) if spark.catalog.tableExists(log_table) else empty
+    mine = log.where(F.col("pipeline_run_id") == run.run_id)
+    finished = {r["source_table"] for r in control.latest_state(mine).where(F.col("status") == control.SUCCEEDED).collect()}
+    seq = (log.agg(F.max("seq")).first()[0] or 0) + 1
+    added, failed = [], []
+
+    def store(events: DataFrame) -> None:
+        rows = empty.unionByName(events, allowMissingColumns=True)
+        # Kept as local rows: what the result shows must not be read from a log that goes on growing.
+        added.append(spark.createDataFrame(rows.collect(), control.LOG_SCHEMA))
+        sinks.append_rows(added[-1].coalesce(1), cfg.root, "ctl", "pipeline_run_log", empty.columns)
+
+    todo = [row for row in control.active_specs(config).collect() if row["source_table"] not in finished]
+    asked = [(run.run_id, row["source_table"], run.batch, seq + i, clock()) for i, row in enumerate(todo)]
+    started = "pipeline_run_id string, source_table string, batch_id string, seq bigint, event_at_utc timestamp"
+    store(control.start_runs(log, spark.createDataFrame(asked, started)))
+    seq += len(asked)
+    progress, versions = config, Versions(spark, cfg.root, run)
+
+    for row in todo:
+        table, begun = row["source_table"], clock()
         spec = cfg.specs.get(table.lower())
         state = extract.LoadState(
             strategy=row["load_strategy"],
@@ -67,33 +96,42 @@ def run_bronze(
             last_change_version=row["last_change_version"],
             last_watermark_value=row["last_watermark_value"],
         )
-        event(table, control.STARTED)
         try:
             if spec is None:
                 raise extract.ExtractError("SOURCE_MISSING", f"{table} is configured but not known")
             delta = extract.plan_extract(spec, state, sources[spec.name], (feeds or {}).get(spec.name))
-            path = bronze.land_bronze(delta.rows.select(*spec.columns), f"{cfg.root}/bronze", spec, cfg, run)
+            read = Observation()
+            rows = delta.rows.select(*spec.columns).observe(read, F.count("*").alias("rows"))
+            path = bronze.land_bronze(rows, f"{cfg.root}/bronze", spec, cfg, run)
             copied = spark.read.parquet(path).count()
             size = spark.read.format("binaryFile").load(path).agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
         except Exception as error:  # recorded for this table; the run goes on
             code = getattr(error, "code", type(error).__name__)
-            event(table, control.FAILED, error_message=str(error)[:2000])
-            errors.append((run.run_id, run.batch, table, "land_bronze", code, str(error)[:2000], repr(error), run.as_of))
+            failure = (run.run_id, table, run.batch, seq, clock(), "land_bronze", code, str(error), repr(error))
+            columns = f"{started}, activity_name string, error_code string, error_message string, error_details string"
+            event, detail = control.fail_runs(spark.createDataFrame([failure], columns))
+            store(event)
+            failed.append(spark.createDataFrame(detail.collect(), detail.schema))
+            sinks.append_rows(failed[-1].coalesce(1), cfg.root, "ctl", "pipeline_error", [f.split()[0] for f in control.ERROR_SCHEMA.split(", ")])
+            seq += 1
             continue
-        event(table, control.SUCCEEDED, rows_read=copied, rows_copied=copied, bytes_written=size, output_path=path)
-        done.append((table, delta.bound, base + len(events)))
-
-    fields = [f.split()[0] for f in control.LOG_SCHEMA.split(", ")]
-    log = spark.createDataFrame([tuple(e.get(f) for f in fields) for e in events], control.LOG_SCHEMA)
-    failures = spark.createDataFrame(errors, control.ERROR_SCHEMA)
-    bounds = spark.createDataFrame(done, "source_table string, new_watermark bigint, seq bigint")
-    versions = Versions(spark, cfg.root, run)
-    advanced = versions.write(control.advance_progress(config, bounds, run.as_of), "ctl", "ingestion_config")
-    sinks.ensure_namespaces(spark, cfg.root)
-    sinks.append_rows(log, cfg.root, "ctl", "pipeline_run_log", log.columns)
-    sinks.append_rows(failures, cfg.root, "ctl", "pipeline_error", failures.columns)
-    versions.publish()
-    return BronzeResult(log, failures, advanced)
+        now = clock()
+        done = (run.run_id, table, run.batch, seq, now, read.get["rows"], copied, size, int((now - begun).total_seconds()), path, delta.bound)
+        columns = f"{started}, rows_read bigint, rows_copied bigint, bytes_written bigint, duration_seconds int, output_path string, new_watermark bigint"
+        completion = spark.createDataFrame([done], columns)
+        control.assert_started(spark.table(log_table), completion)
+        store(control.complete_runs(spark.table(log_table), completion))
+        progress = versions.write(control.advance_progress(progress, completion, now), "ctl", "ingestion_config", f"{seq:020d}")
+        versions.publish()
+        seq += 1
+
+    if not versions.paths:  # nothing succeeded: the configuration is stored as it was given
+        progress = versions.write(config, "ctl", "ingestion_config", f"{seq:020d}")
+        versions.publish()
+    none = spark.createDataFrame([], control.ERROR_SCHEMA)
+    return BronzeResult(
+        reduce(DataFrame.unionByName, added), reduce(DataFrame.unionByName, failed, none), progress
+    )
 
 
 def landed(spark: SparkSession, cfg: LakeConfig) -> dict[str, DataFrame]:
@@ -105,10 +143,11 @@ class Versions:
 
     def __init__(self, spark: SparkSession, root: str, run: RunContext) -> None:
         self.spark, self.root, self.run = spark, root, run
+        self.attempt = uuid.uuid4().hex
         self.paths: dict[tuple[str, str], str] = {}
 
-    def write(self, df: DataFrame, schema: str, table: str) -> DataFrame:
-        path = sinks.write_version(df, self.root, schema, table, self.run.run_id)
+    def write(self, df: DataFrame, schema: str, table: str, step: str = "") -> DataFrame:
+        path = sinks.write_version(df, self.root, schema, table, self.run.run_id, f"{self.attempt}{step}")
         self.paths[schema, table] = path
         return self.spark.read.parquet(path)
 
@@ -159,7 +198,7 @@ def run_silver(
     if register:
         sinks.ensure_namespaces(spark, versions.root)
         versions.publish()
-        sinks.append_rows(metrics, versions.root, "quality", "silver_run_metrics", SILVER_METRICS)
+        sinks.append_rows(metrics, versions.root, "quality", "silver_run_metrics", SILVER_METRICS, ("run_id", "table_name"))
     return LayerResult(tables, metrics)
 
 
@@ -221,7 +260,7 @@ def run_gold(
     if register:
         sinks.ensure_namespaces(spark, versions.root)
         versions.publish()
-        sinks.append_rows(metrics, versions.root, "gold", "gold_run_metrics", GOLD_METRICS)
+        sinks.append_rows(metrics, versions.root, "gold", "gold_run_metrics", GOLD_METRICS, ("run_id", "table_name"))
     return LayerResult(tables, metrics)
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,7 +10,8 @@ from pyspark.sql import functions as F
 
 from tesora.config import LakeConfig, RunContext, TableSpec
 
-PARTITIONS = ("year", "month", "day", "run")
+PARTITIONS = ("year", "month", "day", "run", "attempt")
+TECHNICAL = "_ingestion_timestamp_utc timestamp, _source_system string, _batch_id string"
 
 
 def with_technical_columns(df: DataFrame, source_system: str, run: RunContext) -> DataFrame:
@@ -22,24 +24,28 @@ def with_technical_columns(df: DataFrame, source_system: str, run: RunContext) -
     )
 
 
-def landing_path(root: str, spec: TableSpec, run: RunContext) -> str:
+def landing_path(root: str, spec: TableSpec, run: RunContext, attempt: str) -> str:
     day = run.as_of
     return (
         f"{root.rstrip('/')}/{spec.name.lower()}"
-        f"/year={day:%Y}/month={day:%m}/day={day:%d}/run={run.run_id}"
+        f"/year={day:%Y}/month={day:%m}/day={day:%d}/run={run.run_id}/attempt={attempt}"
     )
 
 
-def land_bronze(df: DataFrame, root: str, spec: TableSpec, cfg: LakeConfig, run: RunContext) -> str:
-    """Write one extract under its own date and run folder; return the path.
+def land_bronze(
+    df: DataFrame, root: str, spec: TableSpec, cfg: LakeConfig, run: RunContext, attempt: str | None = None
+) -> str:
+    """Write one extract under its own date, run and attempt folder; return the path.
 
     A run has a single date, so the folder is named instead of computed per
-    row and the write needs no shuffle. Repeating a run replaces its own files
-    and no others. An empty extract is written too: its schema is the record
-    that the run happened.
+    row and the write needs no shuffle. Bronze only grows: an attempt never
+    writes over another one, and rows that a repeated attempt lands again are
+    absorbed by deduplication. Values take the table's types. An empty extract is written too: its schema is
+    the record that the run happened.
     """
-    path = landing_path(root, spec, run)
-    with_technical_columns(df, cfg.source_system, run).write.mode("overwrite").parquet(path)
+    path = landing_path(root, spec, run, attempt or uuid.uuid4().hex)
+    typed = df.select(*[F.col(name).cast(spec.types[name]).alias(name) if name in spec.types else F.col(name) for name in df.columns])
+    with_technical_columns(typed, cfg.source_system, run).write.mode("errorifexists").parquet(path)
     return path
 
 
@@ -48,12 +54,12 @@ def read_bronze(
 ) -> DataFrame:
     """All landed files of a table, with file name and row position.
 
-    Folder discovery stays on, so a date range prunes whole folders; the
-    folder columns themselves are not part of the table.
+    The columns are the table's own, not guessed from a file. Folder discovery
+    stays on, so a date range prunes whole folders; the folder columns
+    themselves are not part of the table.
     """
-    landed = spark.read.option("basePath", f"{root.rstrip('/')}/{spec.name.lower()}").parquet(
-        f"{root.rstrip('/')}/{spec.name.lower()}"
-    )
+    folder = f"{root.rstrip('/')}/{spec.name.lower()}"
+    landed = spark.read.schema(f"{spec.ddl}, {TECHNICAL}, year int, month int, day int").option("basePath", folder).parquet(folder)
     folder_day = F.make_date(F.col("year"), F.col("month"), F.col("day"))
     if since is not None:
         landed = landed.where(folder_day >= F.lit(since))

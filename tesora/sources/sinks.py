@@ -37,10 +37,14 @@ def require_tables(spark: SparkSession, schema: str, names: Sequence[str]) -> No
         raise PublishError(f"missing {schema} tables: {', '.join(missing)}")
 
 
-def write_version(df: DataFrame, root: str, schema: str, table: str, run_id: str) -> str:
-    """Write a table version to its own folder; nothing reads it until it is published."""
-    path = f"{root.rstrip('/')}/{schema}/{table}/version={run_id}"
-    df.write.mode("overwrite").parquet(path)
+def write_version(df: DataFrame, root: str, schema: str, table: str, run_id: str, attempt: str) -> str:
+    """Write a table version to a folder of its own; nothing reads it until it is published.
+
+    Every attempt has its own folder and none is ever written over: a run that is repeated under its id leaves
+    what it published before as it is.
+    """
+    path = f"{root.rstrip('/')}/{schema}/{table}/version={run_id}-{attempt}"
+    df.write.mode("errorifexists").parquet(path)
     return path
 
 
@@ -57,10 +61,15 @@ def publish_version(spark: SparkSession, schema: str, table: str, path: str) ->
     spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{path}'")
 
 
-def append_rows(df: DataFrame, root: str, schema: str, table: str, columns: Sequence[str]) -> None:
-    """Append in a fixed column order, and make sure the table is known."""
+def append_rows(
+    df: DataFrame, root: str, schema: str, table: str, columns: Sequence[str], keys: Sequence[str] = ()
+) -> None:
+    """Append in a fixed column order, and make sure the table is known. Rows whose ``keys`` are there already are left out."""
     spark, path = df.sparkSession, f"{root.rstrip('/')}/{schema}/{table}"
-    df.select(*columns).write.mode("append").parquet(path)
+    rows = df.select(*columns)
+    if keys and spark.catalog.tableExists(f"{schema}.{table}"):
+        rows = rows.join(spark.table(f"{schema}.{table}").select(*keys).distinct(), list(keys), "left_anti").select(*columns)
+    rows.write.mode("append").parquet(path)
     spark.sql(f"CREATE TABLE IF NOT EXISTS {schema}.{table} USING parquet LOCATION '{path}'")
     spark.catalog.refreshTable(f"{schema}.{table}")
 

@@ -13,11 +13,17 @@ def failure_alerts(
     slide: str = "1 minute",
     threshold: int = 0,
     status: str = "FAILED",
-    lateness: str = "10 minutes",
+    lateness: str | None = None,
 ) -> DataFrame:
-    """Windows in which more than ``threshold`` runs ended in ``status``."""
+    """Windows in which more than ``threshold`` runs ended in ``status``.
+
+    A stream has to say how late an event may come (``lateness``): its window
+    closes then, and events that come later are not counted. A batch counts all.
+    """
     failed = events.where(F.col("status") == status)
     if events.isStreaming:
+        if lateness is None:
+            raise ValueError("a stream of events needs a lateness")
         failed = failed.withWatermark(time, lateness)
     return (
         failed.groupBy(F.window(time, size, slide))

@@ -76,6 +76,43 @@ def test_load_delta_failure_recovery(spark, tmp_path):
     spark.sql("DROP DATABASE ctl CASCADE")
 
 
+def test_a_retried_run_keeps_what_landed_and_does_what_is_left(spark, tmp_path):
+    cfg = replace(CFG, root=str(tmp_path), specs=dict(SPECS))
+    lake = Lake(spark, SMOKE)
+    tables = {name: lake.source(name).select(*spec.columns) for name, spec in SPECS.items()}
+    sources = {name: (lambda df=df: df) for name, df in tables.items()}
+    feeds = {n: feed(spark, s) for n, s in SPECS.items() if s.strategy == CHANGE_TRACKING}
+    seen = []
+
+    def broken():
+        seen.append(spark.table("ctl.pipeline_run_log").where("status = 'STARTED'").count())
+        raise ConnectionError("x" * 5000)
+
+    run = RunContext("L1", AT)
+    spark.sql("DROP DATABASE IF EXISTS ctl CASCADE")
+    first = runner.run_bronze(spark, {**sources, PRODUCTOS: broken}, initial_config(spark), cfg, run, feeds)
+    assert seen == [6]  # every start is stored before the first copy
+    assert first.errors.first()["error_message"] == "x" * 5000
+    again = runner.run_bronze(spark, sources, first.config, cfg, run, feeds)
+    assert copied(again).keys() == {PRODUCTOS}
+    for name, spec in SPECS.items():
+        assert bronze.read_bronze(spark, f"{cfg.root}/bronze", spec).count() == tables[name].count(), name
+    log = spark.table("ctl.pipeline_run_log")
+    assert rows(log.groupBy("status").count()) == [("FAILED", 1), ("STARTED", 6), ("SUCCEEDED", 6)]
+    assert rows(control.latest_state(log).groupBy("status").count()) == [("SUCCEEDED", 6)]
+    done = log.where("status = 'SUCCEEDED'")
+    assert done.where("rows_read <> rows_copied OR duration_seconds IS NULL").isEmpty()
+    nothing = runner.run_bronze(spark, sources, again.config, cfg, run, feeds)
+    assert nothing.log.isEmpty()
+
+    # A crash after landing and before progress: the next run lands the same rows again, and none is lost.
+    before = bronze.read_bronze(spark, f"{cfg.root}/bronze", SPECS[PRODUCTOS]).count()
+    bronze.land_bronze(tables[PRODUCTOS], f"{cfg.root}/bronze", SPECS[PRODUCTOS], cfg, RunContext("L2", AT))
+    landed = bronze.read_bronze(spark, f"{cfg.root}/bronze", SPECS[PRODUCTOS])
+    assert landed.count() == 2 * before and landed.select("cod_prod").distinct().count() == before
+    spark.sql("DROP DATABASE ctl CASCADE")
+
+
 def test_append_strategy_belongs_to_keyed_tables():
     assert {n for n, s in SPECS.items() if s.strategy == APPEND_WATERMARK} == {MOVIMIENTOS}
 

@@ -92,12 +92,22 @@ def test_same_as_the_window_over_movements(spark):
     assert found.exceptAll(direct).isEmpty() and direct.exceptAll(found).isEmpty()
 
 
-def test_huge_amounts_fall_back_instead_of_failing(spark):
-    big = Decimal("9999999999999999.99")
-    data = [(i, 1, DAY - timedelta(days=1 + i % 3), big - (i % 2) * 10**15, True) for i in range(400)] + [(999, 1, DAY, Decimal(1), True)]
+@pytest.mark.parametrize(
+    "amounts",
+    [
+        [Decimal(9 * 10**15) + Decimal(200_000) * (-1) ** i + i for i in range(40)],
+        [Decimal("9999999999999999.99") - (i % 2) * 10**15 for i in range(40)],
+        [Decimal("0.01") * (i % 3) for i in range(40)],
+        [Decimal(10**10) * (i % 5) + Decimal("0.01") * (i % 2) for i in range(40)],
+        [Decimal(-(10**10)) + Decimal("0.01") * (-1) ** i for i in range(40)],
+        [Decimal("123.45")] * 40,
+    ],
+)
+def test_one_formula_serves_all_sizes(spark, amounts):
+    data = [(i, 1, DAY - timedelta(days=1 + i % 3), x, True) for i, x in enumerate(amounts)] + [(999, 1, DAY, Decimal(1), True)]
     row = build(spark, data).where("id_mov = 999").first()
-    assert row[rolling.SAMPLES] == 400
-    assert row[rolling.DEVIATION] == pytest.approx(stdev(float(d[3]) for d in data[:-1]), rel=1e-6)
+    assert row[rolling.SAMPLES] == 40
+    assert row[rolling.DEVIATION] == pytest.approx(float(stdev(amounts)), rel=1e-6, abs=1e-9)
 
 
 def test_flag_needs_two_earlier_movements_and_is_never_null(spark):

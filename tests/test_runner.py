@@ -79,6 +79,19 @@ def test_failed_audit_publishes_nothing(spark, lake):
     assert spark.table("quality.silver_run_metrics").where("run_id = 'BROKEN'").isEmpty()
 
 
+def test_a_failed_repetition_of_the_published_run_changes_nothing(spark, lake):
+    cfg, runs, _ = lake
+    before = rows(spark.table(f"silver.{MOVIMIENTOS}"), "id_mov")
+    metrics = rows(spark.table("quality.silver_run_metrics"))
+    landed = runner.landed(spark, cfg)
+    with pytest.raises(audit.AuditError, match="empty silver tables"):
+        runner.run_silver(spark, {**landed, PRODUCTOS: landed[PRODUCTOS].limit(0)}, cfg, runs[-1])
+    assert rows(spark.table(f"silver.{MOVIMIENTOS}"), "id_mov") == before
+    runner.run_silver(spark, landed, cfg, runs[-1])  # a whole repetition: same contents, no second metrics
+    assert rows(spark.table(f"silver.{MOVIMIENTOS}"), "id_mov") == before
+    assert rows(spark.table("quality.silver_run_metrics")) == metrics
+
+
 def test_superseded_client_version_is_replaced(spark, lake):
     cfg, _, _ = lake
     spec = SPECS[CLIENTES]

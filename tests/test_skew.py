@@ -54,3 +54,20 @@ def test_hot_key_is_spread_and_split(spark):
             spark.conf.set(key, value) if value is not None else spark.conf.unset(key)
     assert max(sizes) < 30_000 / 3 / 2
     assert re.search(r"SortMergeJoin\(skew=true\)", plan)
+
+
+def test_a_lookup_that_fits_only_before_its_repetition_is_merged(spark):
+    """Below the limit by itself, above it eight times over: shuffled, with the rows of a plain join."""
+    lookup = spark.range(40_000).select(F.col("id").alias("k"))
+    left = facts(spark)
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(40_000 * 8 * 3))
+    try:
+        joined = salted_lookup(left, lookup, ["k"], ["id"], 8, how="left_semi")
+        small = salted_lookup(left, spark.range(50).select(F.col("id").alias("k")), ["k"], ["id"], 8, how="left_semi")
+        assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
+        joined.collect()
+        assert "BroadcastHashJoin" not in joined._jdf.queryExecution().executedPlan().toString()
+        assert joined.count() == left.join(lookup, "k", "left_semi").count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)

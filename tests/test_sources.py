@@ -100,8 +100,10 @@ def test_landing_layout_rerun_and_empty_delta(spark, cfg, tmp_path):
     day1 = RunContext("r1", datetime(2024, 1, 31, 23, 59), "b1")
     day2 = RunContext("r2", datetime(2024, 2, 1), "b2")
     path = bronze.land_bronze(fees(spark, [1, 2]), root, FEES, cfg, day1)
-    assert path.endswith(f"{COMISIONES}/year=2024/month=01/day=31/run=r1")
-    bronze.land_bronze(fees(spark, [1, 2]), root, FEES, cfg, day1)  # repeated run
+    assert f"{COMISIONES}/year=2024/month=01/day=31/run=r1/attempt=" in path
+    bronze.land_bronze(fees(spark, []), root, FEES, cfg, day1)  # a repeated run adds and never replaces
+    with pytest.raises(Exception, match="already exists"):
+        bronze.land_bronze(fees(spark, [9]), root, FEES, cfg, day1, attempt=path.rpartition("=")[2])
     bronze.land_bronze(fees(spark, [3]), root, FEES, cfg, day2)
     bronze.land_bronze(fees(spark, []), root, FEES, cfg, RunContext("r3", datetime(2024, 2, 2)))
     landed = bronze.read_bronze(spark, root, FEES)
@@ -203,7 +205,9 @@ def test_alert_windows_batch_and_stream(spark, tmp_path):
     path = str(tmp_path / "log")
     log.write.parquet(path)
     spark.createDataFrame([("FAILED", datetime(2024, 1, 2))], log.schema).write.mode("append").parquet(path)
-    stream = failure_alerts(spark.readStream.schema(log.schema).parquet(path))
+    with pytest.raises(ValueError, match="lateness"):
+        failure_alerts(spark.readStream.schema(log.schema).parquet(path))
+    stream = failure_alerts(spark.readStream.schema(log.schema).parquet(path), lateness="10 minutes")
     query = stream.writeStream.format("memory").queryName("alerts").outputMode("append").trigger(availableNow=True).start()
     query.awaitTermination()
     assert spark.table("alerts").where("window_start < '2024-01-01 01:00:00'").count() == 5
