@@ -261,7 +261,15 @@ CTES: dict[str, str] = {
     UNION ALL SELECT concat('nulos.', tabla, '.', columna), abs(tasa - 0.05) <= 0.01 FROM k_nulos
     UNION ALL SELECT concat('anomalia.', anomalia), detectadas >= previstas FROM k_anomalia
     UNION ALL SELECT concat('consistencia.', control), incumplimientos = 0 FROM k_consistencia
-    UNION ALL SELECT concat('dominio.', valor), permitido FROM k_dominio""",
+    UNION ALL SELECT 'dominio.tip_prod', coalesce(bool_and(permitido), true) FROM k_dominio
+    UNION ALL SELECT concat('archivo.', t, '.', f), t <> 'tb_ausente'
+      FROM (SELECT unnest(['tb_clientes_core', 'tb_productos_cat', 'tb_sucursales_red', 'tb_mov_financieros', 'tb_obligaciones', 'tb_comisiones_log', 'tb_ausente']) AS t)
+      JOIN (SELECT unnest(['csv', 'parquet']) AS f) ON true
+    UNION ALL SELECT concat('huella.', t, '.', f), NOT (t = 'tb_productos_cat' AND f = 'csv')
+      FROM (SELECT unnest(['tb_clientes_core', 'tb_productos_cat', 'tb_sucursales_red', 'tb_mov_financieros', 'tb_obligaciones', 'tb_comisiones_log']) AS t)
+      JOIN (SELECT unnest(['csv', 'parquet']) AS f) ON true
+    UNION ALL SELECT concat('columnas.', t), true
+      FROM (SELECT unnest(['tb_clientes_core', 'tb_productos_cat', 'tb_sucursales_red', 'tb_mov_financieros', 'tb_obligaciones', 'tb_comisiones_log']) AS t)""",
 }
 
 
@@ -343,7 +351,7 @@ SEGMENTS = """SELECT nivel_alerta_cliente, count(*) AS cantidad_clientes, CAST(s
 METRICS_TWO = """SELECT run_id, row_number() OVER (ORDER BY max(processed_at_utc) DESC, run_id DESC) AS orden FROM c_run_metrics GROUP BY run_id"""
 MANIFEST = {
     "tb_clientes_core": ("src_cli", CLI), "tb_productos_cat": ("src_pro", PRO), "tb_sucursales_red": ("src_suc", SUC),
-    "tb_comisiones_log": ("src_com", COM),
+    "tb_mov_financieros": ("src_mov", MOV), "tb_obligaciones": ("src_obl", OBL), "tb_comisiones_log": ("src_com", COM),
 }
 
 BODIES: dict[str, str] = {
@@ -357,16 +365,16 @@ BODIES: dict[str, str] = {
     "bronze_read": "SELECT CAST(lote AS VARCHAR) AS lote, CAST(CAST(DATE '2024-02-01' + (lote - 1) AS DATE) AS VARCHAR) AS dia, count(*) AS filas, count(*) AS posiciones FROM src_mov GROUP BY lote",
     "bronze_stream_available_now": typed("src_mov", MOV),
     "export_manifest": " UNION ALL ".join(
-        f"SELECT '{name}' AS table_name, fmt AS format, '{columns.replace(' ', ',')}' AS columns, count(*) AS filas, true AS huellas_validas FROM {source} JOIN (SELECT unnest(['csv', 'parquet']) AS fmt) formats ON true GROUP BY fmt"
+        f"SELECT '{name}' AS table_name, fmt AS format, '{columns.replace(' ', ',')}' AS columns, count(*) AS filas, NOT ('{name}' = 'tb_productos_cat' AND fmt = 'csv') AS huellas_validas FROM {source} JOIN (SELECT unnest(['csv', 'parquet']) AS fmt) formats ON true GROUP BY fmt"
         for name, (source, columns) in MANIFEST.items()
     ),
     "dq_check_files": " UNION ALL ".join(
         [
             f"SELECT '{name}' AS tabla, '{fmt}' AS formato, count(*) AS esperadas, count(*) AS encontradas, true AS aprobado FROM {source}"
-            for name, source in list(SOURCES.items())[:3]
+            for name, source in SOURCES.items()
             for fmt in ("csv", "parquet")
         ]
-        + [f"SELECT 'tb_comisiones_log', '{fmt}', CAST(1 AS BIGINT), CAST(-1 AS BIGINT), false" for fmt in ("csv", "parquet")]
+        + [f"SELECT 'tb_ausente', '{fmt}', CAST(1 AS BIGINT), CAST(-1 AS BIGINT), false" for fmt in ("csv", "parquet")]
     ),
     "load_reconcile": counts(SOURCES),
     "publish_silver": counts(SILVERS),
@@ -502,6 +510,11 @@ BODIES: dict[str, str] = {
     "dq_business_consistency": "SELECT control, incumplimientos, incumplimientos = 0 AS aprobado FROM k_consistencia",
     "dq_domain_subset": "SELECT valor, filas, permitido FROM k_dominio",
     "dq_full_row_duplicates": "SELECT filas_duplicadas FROM copias",
+    "audit_reconcile_detects": """SELECT 'conteo_movimientos' AS control, CAST(count(*) AS DOUBLE) AS valor_silver,
+      CAST(count(*) FILTER (id_mov % 10 <> 0) AS DOUBLE) AS valor_gold, false AS resultado FROM src_mov
+      UNION ALL SELECT 'conteo_comisiones', CAST(count(*) AS DOUBLE), CAST(count(*) AS DOUBLE), true FROM src_com
+      UNION ALL SELECT 'conteo_clientes', CAST(count(*) AS DOUBLE), NULL, false FROM src_cli
+      UNION ALL SELECT 'conteo_productos', NULL, CAST(count(*) AS DOUBLE), false FROM src_pro""",
     "dq_report": """SELECT count(*) FILTER (aprobado) AS controles_exitosos, count(*) FILTER (NOT aprobado) AS controles_fallidos,
       array_to_string(list_sort(list(control) FILTER (NOT aprobado)), '|') AS fallas,
       CASE WHEN count(*) FILTER (NOT aprobado) = 0 THEN 'PASSED' ELSE 'FAILED' END AS estado FROM controles""",

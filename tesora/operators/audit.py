@@ -149,11 +149,12 @@ def assert_no_orphans(counts: DataFrame) -> None:
 
 
 def reconcile(silver: DataFrame, gold: DataFrame) -> DataFrame:
-    """Compare (control, valor) of both layers; two absent values agree."""
-    left = silver.withColumnRenamed("valor", "valor_silver")
-    right = gold.withColumnRenamed("valor", "valor_gold")
-    return left.join(right, "control").select(
-        "control", "valor_silver", "valor_gold", F.col("valor_silver").eqNullSafe(F.col("valor_gold")).alias("resultado")
+    """Compare (control, valor) of both layers. Two null values agree; a control that only one layer has does not."""
+    left = silver.select("control", F.col("valor").alias("valor_silver"), F.lit(True).alias("_left"))
+    right = gold.select("control", F.col("valor").alias("valor_gold"), F.lit(True).alias("_right"))
+    both = F.col("_left").isNotNull() & F.col("_right").isNotNull()
+    return left.join(right, "control", "full_outer").select(
+        "control", "valor_silver", "valor_gold", (both & F.col("valor_silver").eqNullSafe(F.col("valor_gold"))).alias("resultado")
     )
 
 

@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 from datetime import date
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,8 +29,8 @@ def check_files(spark: SparkSession, root: str, expected: Mapping[str, int]) ->
             try:
                 # Listing decides presence; file contents are not read for it.
                 present = not files.load(folder).select("path").isEmpty()
-            except Exception as error:  # a missing folder is a finding, not a failure
-                if "PATH_NOT_FOUND" not in str(error):
+            except AnalysisException as error:  # a missing folder is a finding, not a failure
+                if error.getCondition() != "PATH_NOT_FOUND":
                     raise
                 present = False
             if present:
@@ -178,6 +179,11 @@ def check_domain(df: DataFrame, column: str, allowed: Sequence[str]) -> DataFram
     )
 
 
+def check_subset(domain: DataFrame, control: str) -> DataFrame:
+    """(control, aprobado) of a whole domain: one row, however many values a column has."""
+    return domain.agg(F.lit(control).alias("control"), F.coalesce(F.bool_and("permitido"), F.lit(True)).alias("aprobado")).select("control", "aprobado")
+
+
 def as_checks(checks: DataFrame, prefix: str, *labels: str) -> DataFrame:
     """Reduce a check result to (control, aprobado)."""
     return checks.select(F.concat_ws(".", F.lit(prefix), *labels).alias("control"), "aprobado")

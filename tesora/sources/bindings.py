@@ -37,14 +37,13 @@ SELECT c_custkey AS id_cli, c_name AS nomb_cli, concat('AP', CAST(c_custkey AS V
   n_name AS ciudad_res, r_name AS depto_res,
   CASE WHEN c_custkey % 100 < 91 THEN 'ACTIVO' WHEN c_custkey % 100 < 98 THEN 'INACTIVO' ELSE 'BLOQUEADO' END AS estado_cli,
   CASE WHEN c_custkey % 19 = 0 THEN NULL WHEN c_custkey % 2 = 0 THEN 'app' ELSE 'WEB' END AS canal_adquis
-FROM {customer} JOIN {nation} ON c_nationkey = n_nationkey JOIN {region} ON n_regionkey = r_regionkey
-WHERE c_acctbal >= 0""",
+FROM {customer} JOIN {nation} ON c_nationkey = n_nationkey JOIN {region} ON n_regionkey = r_regionkey""",
     PRODUCTOS: """
 SELECT concat('PRD', CAST(p_partkey AS VARCHAR(20))) AS cod_prod, p_name AS desc_prod, p_type AS tip_prod,
   CAST(p_size AS DECIMAL(8,2)) AS tasa_ea, CAST(p_size AS INT) AS plazo_max_meses,
   CAST(p_retailprice AS DECIMAL(18,2)) AS cuota_min, CAST(p_size AS DECIMAL(18,2)) AS comision_admin,
   CASE WHEN p_size <= 46 THEN 'ACTIVO' ELSE 'INACTIVO' END AS estado_prod
-FROM {part} WHERE p_size > 2""",
+FROM {part}""",
     SUCURSALES: """
 SELECT concat('SUC', CAST(s_suppkey AS VARCHAR(20))) AS cod_suc, s_name AS nom_suc,
   CASE s_suppkey % 3 WHEN 0 THEN 'SUCURSAL' WHEN 1 THEN 'CORRESPONSAL' ELSE 'PUNTO_DIGITAL' END AS tip_punto,
@@ -52,7 +51,8 @@ SELECT concat('SUC', CAST(s_suppkey AS VARCHAR(20))) AS cod_suc, s_name AS nom_s
   s_acctbal >= 0 AS activo
 FROM {supplier} JOIN {nation} ON s_nationkey = n_nationkey JOIN {region} ON n_regionkey = r_regionkey""",
     MOVIMIENTOS: """
-SELECT event_id AS id_mov, user_id AS id_cli, concat('PRD', CAST(event_id % 200 AS VARCHAR(20))) AS cod_prod,
+SELECT event_id AS id_mov, CASE WHEN event_id % 11 = 0 THEN -1 - user_id ELSE user_id END AS id_cli,
+  concat(CASE WHEN event_id % 23 = 0 THEN 'PRX' ELSE 'PRD' END, CAST(event_id % 200 AS VARCHAR(20))) AS cod_prod,
   concat('CTA', CAST(user_id AS VARCHAR(20)), '-', CAST(event_id % 200 AS VARCHAR(20))) AS num_cuenta,
   CAST(ts AS DATE) AS fec_mov, substr(CAST(ts AS VARCHAR(40)), 12, 8) AS hra_mov,
   CAST(value AS DECIMAL(18,2)) AS vr_mov, upper(event_type) AS tip_mov, concat(' ', event_type) AS cod_canal,
@@ -61,7 +61,8 @@ SELECT event_id AS id_mov, user_id AS id_cli, concat('PRD', CAST(event_id % 200
   CASE WHEN event_id % 20 = 0 THEN NULL ELSE concat('DEV', CAST(event_id % 997 AS VARCHAR(20))) END AS id_dispositivo
 FROM {events}""",
     OBLIGACIONES: """
-SELECT l_orderkey * 8 + l_linenumber AS id_oblig, o_custkey AS id_cli, concat('PRD', CAST(l_partkey AS VARCHAR(20))) AS cod_prod,
+SELECT l_orderkey * 8 + l_linenumber AS id_oblig, CASE WHEN l_orderkey % 11 = 0 THEN -o_custkey ELSE o_custkey END AS id_cli,
+  concat(CASE WHEN l_orderkey % 23 = 0 THEN 'PRX' ELSE 'PRD' END, CAST(l_partkey AS VARCHAR(20))) AS cod_prod,
   CAST(l_extendedprice AS DECIMAL(18,2)) AS vr_aprobado,
   CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * (CAST(1 AS DECIMAL(4,2)) + CAST(0.02 AS DECIMAL(4,2)) - CAST(l_discount AS DECIMAL(4,2))) AS DECIMAL(18,2)) AS vr_desembolsado,
   CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(0.10 * l_linenumber AS DECIMAL(4,2)) AS DECIMAL(18,2)) AS sdo_capital,
@@ -71,7 +72,8 @@ SELECT l_orderkey * 8 + l_linenumber AS id_oblig, o_custkey AS id_cli, concat('P
   CAST(l_shipdate AS DATE) AS _ord1, CAST(l_extendedprice AS DECIMAL(18,2)) AS _ord2, l_partkey AS _ord3, l_suppkey AS _ord4
 FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey""",
     COMISIONES: """
-SELECT o_orderkey AS id_comision, o_custkey AS id_cli, concat('PRD', CAST(o_orderkey % 200 AS VARCHAR(20))) AS cod_prod,
+SELECT o_orderkey AS id_comision, CASE WHEN o_orderkey % 11 = 0 THEN -o_custkey ELSE o_custkey END AS id_cli,
+  concat(CASE WHEN o_orderkey % 23 = 0 THEN 'PRX' ELSE 'PRD' END, CAST(o_orderkey % 200 AS VARCHAR(20))) AS cod_prod,
   CAST(o_orderdate AS DATE) AS fec_cobro, CAST(CAST(o_totalprice AS DECIMAL(18,2)) - CAST(5000 AS DECIMAL(18,2)) AS DECIMAL(18,2)) AS vr_comision,
   CASE WHEN o_orderkey % 20 = 0 THEN NULL ELSE o_orderpriority END AS tip_comision,
   CASE o_orderstatus WHEN 'F' THEN 'COBRADA' WHEN 'O' THEN 'PENDIENTE' ELSE 'REVERSADA' END AS estado_cobro
@@ -117,10 +119,10 @@ SELECT 'dbo' AS source_schema, concat('Supplier#', lpad(CAST(c_custkey AS VARCHA
   CASE WHEN c_custkey % 2 = 0 THEN 'pk' END AS watermark_column
 FROM {customer}""",
     "client_changes": """
-SELECT c_custkey AS id_cli, 5 AS version, 'U' AS op FROM {customer} WHERE c_acctbal >= 0 AND c_custkey % 10 = 0
-UNION ALL SELECT c_custkey, 8, 'I' FROM {customer} WHERE c_acctbal >= 0 AND c_custkey % 10 = 1
-UNION ALL SELECT c_custkey, 9, 'D' FROM {customer} WHERE c_acctbal >= 0 AND c_custkey % 10 = 2
-UNION ALL SELECT c_custkey, 9, 'U' FROM {customer} WHERE c_acctbal >= 0 AND c_custkey % 30 = 0""",
+SELECT c_custkey AS id_cli, 5 AS version, 'U' AS op FROM {customer} WHERE c_custkey % 10 = 0
+UNION ALL SELECT c_custkey, 8, 'I' FROM {customer} WHERE c_custkey % 10 = 1
+UNION ALL SELECT c_custkey, 9, 'D' FROM {customer} WHERE c_custkey % 10 = 2
+UNION ALL SELECT c_custkey, 9, 'U' FROM {customer} WHERE c_custkey % 30 = 0""",
     "run_metrics": """
 SELECT concat('RUN-', CAST(CAST(ts AS DATE) AS VARCHAR(20))) AS run_id, upper(event_type) AS table_name, 'FACT' AS table_type,
   count(*) AS row_count, count(*) AS bronze_rows, count(CASE WHEN value >= 10 THEN 1 END) AS silver_rows,
