@@ -362,6 +362,10 @@ BODIES: dict[str, str] = {
         FROM c_client_changes WHERE version > 4) n WHERE n.rk = 1 AND n.version <= 8 AND n.op IN ('I', 'U') AND n.id_cli = s.id_cli)""",
     ),
     "bronze_land_roundtrip": typed("src_mov", MOV),
+    "ingest_retry": " UNION ALL ".join(
+        f"SELECT '{name}' AS tabla, count(*) AS filas, 'SUCCEEDED' AS estado, CAST({3 if name == 'tb_productos_cat' else 2} AS BIGINT) AS eventos FROM {source}"
+        for name, source in SOURCES.items()
+    ),
     "bronze_read": "SELECT CAST(lote AS VARCHAR) AS lote, CAST(CAST(DATE '2024-02-01' + (lote - 1) AS DATE) AS VARCHAR) AS dia, count(*) AS filas, count(*) AS posiciones FROM src_mov GROUP BY lote",
     "bronze_stream_available_now": typed("src_mov", MOV),
     "export_manifest": " UNION ALL ".join(
@@ -521,5 +525,10 @@ BODIES: dict[str, str] = {
 }
 
 
+# What is published must be what the direct build gives.
+BODIES["publish_silver_contents"] = BODIES["silver_movimientos"]
+BODIES["publish_gold_contents"] = BODIES["mart_cliente_360"]
+
+
 def oracle_sql() -> dict[str, str]:
     return {name: compose(body) for name, body in BODIES.items()}

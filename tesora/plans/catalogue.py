@@ -8,6 +8,7 @@ alike through any client.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator, Mapping
+from dataclasses import replace
 from datetime import datetime
 from functools import cached_property
 
@@ -249,6 +250,33 @@ def _(lake: Lake) -> DataFrame:
     )
 
 
+@query("ingest_retry")
+def _(lake: Lake) -> DataFrame:
+    """A run in which one source is down, and its repetition under the same id: all rows, one final state for each table."""
+    cfg = replace(CFG, root=lake.folder("ingest"))
+    initial = [
+        ("dbo", name.upper(), spec.strategy, spec.key, spec.watermark_column, None, None, False, True, RUN.as_of) for name, spec in cfg.specs.items()
+    ]
+    config = lake.spark.createDataFrame(initial, control.CONFIG_SCHEMA)
+    feeds = {}
+    for name, spec in cfg.specs.items():
+        none = lake.spark.createDataFrame([], f"{spec.key} {spec.types[spec.key]}, version bigint, op string")
+        feeds[name] = extract.ChangeFeed(none, current_version=1, min_valid_version=1)
+    sources = {name: (lambda name=name: lake.owned(name)) for name in cfg.specs}
+
+    def down() -> DataFrame:
+        raise ConnectionError("source is down")
+
+    first = runner.run_bronze(lake.spark, {**sources, PRODUCTOS: down}, config, cfg, RUN, feeds, register=False)
+    runner.run_bronze(lake.spark, sources, first.config, cfg, RUN, feeds, register=False)
+    log = sinks.kept_rows(lake.spark, cfg.root, "ctl", "pipeline_run_log", control.LOG_SCHEMA)
+    state = control.latest_state(log).select(F.lower("source_table").alias("tabla"), F.col("status").alias("estado"))
+    events = log.groupBy(F.lower("source_table").alias("tabla")).agg(F.count("*").alias("eventos"))
+    landed = reports.table_counts({name: bronze.read_bronze(lake.spark, f"{cfg.root}/bronze", spec) for name, spec in cfg.specs.items()})
+    landed = landed.toDF("tabla", "filas")
+    return landed.join(state, "tabla", "left").join(events, "tabla", "left")
+
+
 @query("bronze_stream_available_now")
 def _(lake: Lake) -> DataFrame:
     root, spec = lake.folder("stream"), CFG.specs[MOVIMIENTOS]
@@ -312,6 +340,20 @@ def _(lake: Lake) -> DataFrame:
     return reports.table_counts(result.tables)
 
 
+@query("publish_silver_contents")
+def _(lake: Lake) -> DataFrame:
+    """What a silver run writes for publication, row by row."""
+    result = runner.run_silver(lake.spark, lake.bronze, CFG, RUN, lake.folder("silver"), register=False)
+    return result.tables[MOVIMIENTOS]
+
+
+@query("publish_gold_contents")
+def _(lake: Lake) -> DataFrame:
+    root = lake.folder("gold")
+    silver_run = runner.run_silver(lake.spark, lake.bronze, CFG, RUN, root, register=False)
+    return runner.run_gold(lake.spark, silver_run.tables, CFG, RUN, root, register=False).tables["mart_cliente_360"].drop("_gold_processed_at_utc")
+
+
 @query("publish_gold")
 def _(lake: Lake) -> DataFrame:
     root = lake.folder("gold")

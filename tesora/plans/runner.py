@@ -52,6 +52,7 @@ def run_bronze(
     run: RunContext,
     feeds: Mapping[str, extract.ChangeFeed] | None = None,
     clock: Callable[[], datetime] = utc_now,
+    register: bool = True,
 ) -> BronzeResult:
     """Extract and land every active table, log each outcome, advance progress.
 
@@ -65,10 +66,14 @@ def run_bronze(
     configuration (a row per table) and one log row per event pass through the
     driver. ``log`` and ``errors`` of the result are this call's.
     """
-    sinks.ensure_namespaces(spark, cfg.root)
-    log_table = "ctl.pipeline_run_log"
+    if register:
+        sinks.ensure_namespaces(spark, cfg.root)
     empty = spark.createDataFrame([], control.LOG_SCHEMA)
-    log = spark.table(log_table) if spark.catalog.tableExists(log_table) else empty
+
+    def stored_log() -> DataFrame:
+        return sinks.kept_rows(spark, cfg.root, "ctl", "pipeline_run_log", control.LOG_SCHEMA)
+
+    log = stored_log()
     mine = log.where(F.col("pipeline_run_id") == run.run_id)
     finished = {r["source_table"] for r in control.latest_state(mine).where(F.col("status") == control.SUCCEEDED).collect()}
     seq = (log.agg(F.max("seq")).first()[0] or 0) + 1
@@ -78,7 +83,7 @@ def run_bronze(
         rows = empty.unionByName(events, allowMissingColumns=True)
         # Kept as local rows: what the result shows must not be read from a log that goes on growing.
         added.append(spark.createDataFrame(rows.collect(), control.LOG_SCHEMA))
-        sinks.append_rows(added[-1].coalesce(1), cfg.root, "ctl", "pipeline_run_log", empty.columns)
+        sinks.append_rows(added[-1].coalesce(1), cfg.root, "ctl", "pipeline_run_log", empty.columns, register=register)
 
     todo = [row for row in control.active_specs(config).collect() if row["source_table"] not in finished]
     asked = [(run.run_id, row["source_table"], run.batch, seq + i, clock()) for i, row in enumerate(todo)]
@@ -112,22 +117,24 @@ def run_bronze(
             event, detail = control.fail_runs(spark.createDataFrame([failure], columns))
             store(event)
             failed.append(spark.createDataFrame(detail.collect(), detail.schema))
-            sinks.append_rows(failed[-1].coalesce(1), cfg.root, "ctl", "pipeline_error", [f.split()[0] for f in control.ERROR_SCHEMA.split(", ")])
+            sinks.append_rows(failed[-1].coalesce(1), cfg.root, "ctl", "pipeline_error", [f.split()[0] for f in control.ERROR_SCHEMA.split(", ")], register=register)
             seq += 1
             continue
         now = clock()
         done = (run.run_id, table, run.batch, seq, now, read.get["rows"], copied, size, int((now - begun).total_seconds()), path, delta.bound)
         columns = f"{started}, rows_read bigint, rows_copied bigint, bytes_written bigint, duration_seconds int, output_path string, new_watermark bigint"
         completion = spark.createDataFrame([done], columns)
-        control.assert_started(spark.table(log_table), completion)
-        store(control.complete_runs(spark.table(log_table), completion))
+        control.assert_started(stored_log(), completion)
+        store(control.complete_runs(stored_log(), completion))
         progress = versions.write(control.advance_progress(progress, completion, now), "ctl", "ingestion_config", f"{seq:020d}")
-        versions.publish()
+        if register:
+            versions.publish()
         seq += 1
 
     if not versions.paths:  # nothing succeeded: the configuration is stored as it was given
         progress = versions.write(config, "ctl", "ingestion_config", f"{seq:020d}")
-        versions.publish()
+        if register:
+            versions.publish()
     none = spark.createDataFrame([], control.ERROR_SCHEMA)
     return BronzeResult(
         reduce(DataFrame.unionByName, added), reduce(DataFrame.unionByName, failed, none), progress

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
@@ -61,17 +62,29 @@ def publish_version(spark: SparkSession, schema: str, table: str, path: str) ->
     spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{path}'")
 
 
+def kept_rows(spark: SparkSession, root: str, schema: str, table: str, ddl: str) -> DataFrame:
+    """Rows appended so far under a root, none where nothing was appended yet."""
+    try:
+        return spark.read.schema(ddl).parquet(f"{root.rstrip('/')}/{schema}/{table}")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], ddl)
+
+
 def append_rows(
-    df: DataFrame, root: str, schema: str, table: str, columns: Sequence[str], keys: Sequence[str] = ()
+    df: DataFrame, root: str, schema: str, table: str, columns: Sequence[str], keys: Sequence[str] = (), register: bool = True
 ) -> None:
     """Append in a fixed column order, and make sure the table is known. Rows whose ``keys`` are there already are left out."""
     spark, path = df.sparkSession, f"{root.rstrip('/')}/{schema}/{table}"
     rows = df.select(*columns)
-    if keys and spark.catalog.tableExists(f"{schema}.{table}"):
-        rows = rows.join(spark.table(f"{schema}.{table}").select(*keys).distinct(), list(keys), "left_anti").select(*columns)
+    if keys:
+        known = kept_rows(spark, root, schema, table, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema))
+        rows = rows.join(known.select(*keys).distinct(), list(keys), "left_anti").select(*columns)
     rows.write.mode("append").parquet(path)
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {schema}.{table} USING parquet LOCATION '{path}'")
-    spark.catalog.refreshTable(f"{schema}.{table}")
+    if register:
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {schema}.{table} USING parquet LOCATION '{path}'")
+        spark.catalog.refreshTable(f"{schema}.{table}")
 
 
 def export_tables(
