@@ -82,7 +82,7 @@ def date_dimension(bounds: DataFrame) -> DataFrame:
         F.dayofmonth("fecha").alias("dia_mes"),
         weekday.alias("dia_semana"),
         label_at(DAY_NAMES, weekday).alias("nombre_dia"),
-        ((weekday == 1) | (weekday == 7)).alias("es_fin_semana"),
+        weekday.isin(1, 7).alias("es_fin_semana"),
     )
 
 
@@ -103,6 +103,7 @@ def dim_cliente(clients: DataFrame, cfg: LakeConfig) -> DataFrame:
     )
 
 
+# Fixed values in the dimensions below: their published columns.
 def renamed(df: DataFrame, names: Mapping[str, str], keep: Sequence[str]) -> DataFrame:
     return df.select(*[F.col(old).alias(new) for old, new in names.items()], *keep)
 
@@ -119,42 +120,48 @@ def dim_sucursal(branches: DataFrame) -> DataFrame:
 
 # --- Facts ------------------------------------------------------------------
 
-FACT_KEYS = {"id_cli": "cliente_key", "cod_prod": "producto_key"}
+# The published columns of the facts, in their published order.
+FACT_COLUMNS = {
+    "fact_movimientos": (
+        "id_mov", "cliente_key", "producto_key", "fecha_key", "hra_mov", "num_cuenta_hash", "vr_mov", "tip_mov", "cod_canal",
+        "cod_ciudad", "cod_estado_mov", "ind_canal_valido", "ind_sospechoso", "promedio_vr_mov_30d", "desv_vr_mov_30d",
+        "cantidad_mov_30d", "_record_hash",
+    ),
+    "fact_obligaciones": (
+        "id_oblig", "cliente_key", "producto_key", "vr_aprobado", "vr_desembolsado", "sdo_capital", "vr_cuota",
+        "fecha_desembolso_key", "fecha_venc_key", "dias_mora_act", "num_cuotas_pend", "calif_riesgo",
+        "ind_montos_consistentes", "ind_fechas_consistentes", "_record_hash", "ind_en_mora", "rango_mora",
+    ),
+    "fact_comisiones": (
+        "id_comision", "cliente_key", "producto_key", "fecha_key", "vr_comision", "tip_comision", "estado_cobro", "_record_hash",
+    ),
+}
+
+
+def as_fact(name: str, df: DataFrame, added: Mapping[str, Column]) -> DataFrame:
+    """The published columns of a fact; clients and products become keys of their dimensions."""
+    keys = {"cliente_key": F.col("id_cli"), "producto_key": F.col("cod_prod")}
+    return df.withColumns({**keys, **added}).select(*FACT_COLUMNS[name])
 
 
 def fact_movimientos(movements: DataFrame) -> DataFrame:
     """Movements of the official period, the account pseudonymised."""
-    valid = movements.where(IN_PERIOD).withColumns(
-        {"fecha_key": date_key("fec_mov"), "num_cuenta_hash": pseudonym("num_cuenta")}
-    )
-    keep = (
-        "id_mov", "fecha_key", "hra_mov", "num_cuenta_hash", "vr_mov", "tip_mov", "cod_canal", "cod_ciudad",
-        "cod_estado_mov", "ind_canal_valido", "ind_sospechoso", "promedio_vr_mov_30d", "desv_vr_mov_30d",
-        "cantidad_mov_30d", "_record_hash",
-    )
-    return renamed(valid, FACT_KEYS, keep)
+    added = {"fecha_key": date_key("fec_mov"), "num_cuenta_hash": pseudonym("num_cuenta")}
+    return as_fact("fact_movimientos", movements.where(IN_PERIOD), added)
 
 
 def fact_obligaciones(obligations: DataFrame) -> DataFrame:
-    extended = obligations.withColumns(
-        {
-            "fecha_desembolso_key": date_key("fec_desembolso"),
-            "fecha_venc_key": date_key("fec_venc"),
-            "ind_en_mora": F.col("dias_mora_act") > 0,
-            "rango_mora": bucket("dias_mora_act", ARREARS_EDGES, ARREARS_LABELS, inclusive=True),
-        }
-    )
-    keep = (
-        "id_oblig", "vr_aprobado", "vr_desembolsado", "sdo_capital", "vr_cuota", "fecha_desembolso_key",
-        "fecha_venc_key", "dias_mora_act", "num_cuotas_pend", "calif_riesgo", "ind_montos_consistentes",
-        "ind_fechas_consistentes", "ind_en_mora", "rango_mora", "_record_hash",
-    )
-    return renamed(extended, FACT_KEYS, keep)
+    added = {
+        "fecha_desembolso_key": date_key("fec_desembolso"),
+        "fecha_venc_key": date_key("fec_venc"),
+        "ind_en_mora": F.col("dias_mora_act") > 0,
+        "rango_mora": bucket("dias_mora_act", ARREARS_EDGES, ARREARS_LABELS, inclusive=True),
+    }
+    return as_fact("fact_obligaciones", obligations, added)
 
 
 def fact_comisiones(fees: DataFrame) -> DataFrame:
-    keep = ("id_comision", "fecha_key", "vr_comision", "tip_comision", "estado_cobro", "_record_hash")
-    return renamed(fees.withColumn("fecha_key", date_key("fec_cobro")), FACT_KEYS, keep)
+    return as_fact("fact_comisiones", fees, {"fecha_key": date_key("fec_cobro")})
 
 
 # --- Measures ---------------------------------------------------------------

@@ -38,7 +38,7 @@ def rules_for(table: str, cfg: LakeConfig) -> list[Rule]:
         descending = (approved >= paid_out) & (paid_out >= balance) & (balance >= 0)
         return [
             Rule(RULE_AMOUNTS, descending, flag="ind_montos_consistentes"),
-            Rule(RULE_DATES, F.col("fec_desembolso") < F.col("fec_venc"), flag="ind_fechas_consistentes"),
+            Rule(RULE_DATES, F.col("fec_venc") > F.col("fec_desembolso"), flag="ind_fechas_consistentes"),
         ]
     if table == COMISIONES:
         return [Rule(RULE_NEGATIVE_FEE, F.col("vr_comision") >= 0)]
