@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from tesora.llm.common import ship, stored
 
 WINDOW = 13
-GRAM = 4
+GRAM = 6  # long enough that grams of common words seldom meet by chance
 BITS = 26  # of the bitmap of repeated minimisers
 HOT_BITS = 22
 HOT = 1000  # texts with one minimiser from which on its windows are split
@@ -234,17 +234,23 @@ def _segments(docs: DataFrame, repeated: np.ndarray, hot: np.ndarray) -> DataFra
 
 
 def _covering(found: DataFrame) -> DataFrame:
-    """(segment, least): for each distinct segment the first documents of its windows, by the shards' indexes."""
-    distinct = stored(found.groupBy("route", "segment", "words").agg(F.min("doc_id").alias("name")), "segments")
+    """(segment, least): the first documents of a distinct segment's windows, by the shards' indexes. Segments that stand in one
+    place only and whose windows all begin there are left out: they cover nothing and nothing covers them."""
+    distinct = stored(found.groupBy("route", "words").agg(F.min("doc_id").alias("name"), F.count("*").alias("n")), "segments")
     size = distinct.agg(F.sum(F.octet_length("words") / 6).alias("n")).collect()[0].n or 0
     shards = max(1, -(-int(size) // SHARD_WORDS))
 
     def search(table: pa.Table) -> pa.Table:
-        counts, least = first_documents(table.column("words").to_pylist(), table.column("name").to_numpy())
-        ends = pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32))
-        return pa.table([table.column("segment"), pa.ListArray.from_arrays(ends, pa.array(least))], names=["segment", "least"])
-
-    dealt = distinct.select("segment", "words", "name", F.pmod(F.xxhash64("route"), F.lit(shards)).alias("shard"))
+        words, names = table.column("words").to_pylist(), table.column("name").to_numpy()
+        counts, least = first_documents(words, names)
+        ends = np.concatenate([[0], np.cumsum(counts)])
+        earlier = np.add.reduceat((least < np.repeat(names, counts)).astype(np.int64), ends[:-1]) > 0
+        told = np.flatnonzero(earlier | (table.column("n").to_numpy() > 1))
+        keys = pa.array([xxhash.xxh3_128_digest(words[i]) for i in told.tolist()], pa.binary())
+        lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(least)).take(pa.array(told))
+        return pa.table([keys, lists], names=["segment", "least"])
+
+    dealt = distinct.select("words", "name", "n", F.pmod(F.xxhash64("route"), F.lit(shards)).alias("shard"))
     return stored(dealt.groupBy("shard").applyInArrow(search, "segment binary, least array<long>"), "least")
 
 
@@ -275,8 +281,8 @@ def _covered(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     return marked, stored(parts, "covered")
 
 
-def _cut(rows: DataFrame) -> DataFrame:
-    """(doc_id, row_key, n_words, n_removed, kept_sha256, text) of rows with text, parts and copy."""
+def _cut(rows: DataFrame, with_text: bool) -> DataFrame:
+    """(doc_id, row_key, n_words, n_removed, kept_sha256, and text if asked for) of rows with text, parts and copy."""
 
     def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in source:
@@ -297,11 +303,13 @@ def _cut(rows: DataFrame) -> DataFrame:
                     sizes.append(len(words))
                     gone.append(int(away.sum()))
                     digests.append(hashlib.sha256(kept).hexdigest())
-                    texts.append(kept.decode())
-                columns = [part.column("doc_id"), part.column("row_key"), *(pa.array(x, pa.int64()) for x in (sizes, gone)), pa.array(digests), pa.array(texts)]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "row_key", "n_words", "n_removed", "kept_sha256", "text"])
+                    if with_text:
+                        texts.append(kept.decode())
+                columns = [part.column("doc_id"), part.column("row_key"), *(pa.array(x, pa.int64()) for x in (sizes, gone)), pa.array(digests)]
+                columns += [pa.array(texts)] if with_text else []
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "row_key", "n_words", "n_removed", "kept_sha256", "text"][: len(columns)])
 
-    schema = "doc_id long, row_key long, n_words long, n_removed long, kept_sha256 string, text string"
+    schema = "doc_id long, row_key long, n_words long, n_removed long, kept_sha256 string" + (", text string" if with_text else "")
     return rows.select("doc_id", "row_key", "text", "parts", "copy").mapInArrow(batches, schema)
 
 
@@ -319,7 +327,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     copies = marked.select("doc_id", "row_key", "copy").distinct()
     same = lambda other: docs["doc_id"].eqNullSafe(other["doc_id"]) & (docs["row_key"] == other["row_key"])
     rows = docs.join(copies, same(copies)).join(parts, same(parts), "left").select(docs["doc_id"], docs["row_key"], "text", "parts", "copy")
-    return _cut(rows).drop("row_key")
+    return _cut(rows, with_text=True).drop("row_key")
 
 
 def removal_digests(docs: DataFrame) -> DataFrame:
@@ -329,7 +337,7 @@ def removal_digests(docs: DataFrame) -> DataFrame:
     marked, parts = _covered(docs)
     touched = parts.select("doc_id", "row_key")
     texts = docs.join(F.broadcast(touched), ["doc_id", "row_key"], "left_semi") if touched.count() <= FEW else docs
-    changed = _cut(texts.join(parts, ["doc_id", "row_key"]).withColumn("copy", F.lit(False))).distinct()
+    changed = _cut(texts.join(parts, ["doc_id", "row_key"]).withColumn("copy", F.lit(False)), with_text=False).distinct()
     changed = changed.select("doc_id", "row_key", F.col("n_removed").alias("gone"), F.col("kept_sha256").alias("digest"))
     none = F.lit(hashlib.sha256(b"").hexdigest())
     all_gone = F.col("copy") & (F.col("n_words") >= WINDOW)
