@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from tesora.llm.common import ship, stored
 
 BANDS, ROWS = 32, 5
-CHUNK = 256  # members of a bucket in a block
+CHUNK = 4096  # members of a bucket in a block
 FEW = 1_000_000  # ids that may be broadcast; more are joined by a shuffle
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
