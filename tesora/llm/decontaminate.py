@@ -2,14 +2,18 @@
 
 Tokens are words in lower case (A-Z) without ASCII punctuation. A seed hashes the
 tokens at a mask's places and ignores those between, so that a changed word
-spoils only the seeds that look at it. Items of fewer than ``SHORTEST`` tokens are too
-short to tell a leak from common speech: they give no seeds and no overlaps.
+spoils only the seeds that look at it. At least one of ``MASKS`` hits any 13 tokens of which
+up to three are changed.
 
 1. The benchmark's seeds are set in a bitmap of fixed size, which Spark ors together. It only spares rows: every
    document's seeds at all places are looked up in it, and those found are joined with the benchmark's seeds.
 2. A joined pair gives an alignment: document, item, and the distance between their places.
-3. Each alignment is verified on the tokens: the stretch around the hits with the highest score (a match adds one, a
-   substitution takes three) must have ``least`` tokens and ``matched`` matches, or be the whole of a shorter item.
+3. Each alignment is verified on the tokens, by one of two rules:
+   - ``windows``, used by the query and the pipeline: any ``least`` tokens in a row with ``matched`` matches. Of an item with fewer
+     tokens the whole is the window, with the same share of matches; runs of three (``NEAR``) are its seeds, one of which is left by
+     as many changes as may be. An item of fewer than ``SHORTEST`` tokens must be there whole, and is its own seed.
+   - ``stretch``: the stretch with the highest score (a match adds one, a substitution takes three) must have ``least`` tokens and
+     ``matched`` matches, or be the whole of a shorter item; items of fewer than ``SHORTEST`` tokens give no seeds and no overlaps.
 """
 
 from __future__ import annotations
@@ -26,8 +30,10 @@ from pyspark.sql import functions as F
 from tesora.llm.common import ship, stored
 
 # Places that each mask looks at.
-MASKS = ((0, 1, 2, 3, 4, 5), (0, 1, 3, 6, 7, 9), (0, 2, 3, 5, 8, 9), (0, 4, 5, 7, 8, 11))
+MASKS = ((0, 1, 2, 3, 4, 5), (0, 1, 3, 6, 7, 9), (0, 2, 3, 5, 8, 9), (0, 4, 5, 7, 8, 11), (0, 1, 2, 6, 9, 10), (0, 1, 4, 5, 6, 7), (0, 1, 4, 6, 7, 8))
 SHORTEST = 1 + max(MASKS[0])  # from here on the first mask fits
+NEAR = (0, 1, 2)  # of items from SHORTEST to LONG - 1 tokens
+LONG = 13
 BITS = 22
 FEW = 200_000  # documents with alignments that may be broadcast; more are joined by a shuffle
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -59,21 +65,27 @@ def bit_of(values: np.ndarray) -> np.ndarray:
     return values >> np.uint64(64 - BITS)
 
 
-def item_seeds(items: DataFrame) -> DataFrame:
-    """(seed, item_id, pos) of a benchmark; an item too short for a mask has none of it."""
+def short_masks(n: int) -> tuple[tuple[int, ...], ...]:
+    """What ``windows`` looks up of an item of n tokens besides MASKS."""
+    return (NEAR,) if SHORTEST <= n < LONG else (tuple(range(n)),) if 0 < n < SHORTEST else ()
+
+
+def item_seeds(items: DataFrame, short: bool = False) -> DataFrame:
+    """(seed, item_id, pos, span) of a benchmark; an item too short for a mask has none of it. ``span``: tokens of a short mask, else 0."""
 
     def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in source:
             for name, text in zip(batch.column("item_id").to_pylist(), batch.column("text").cast(pa.binary()).to_pylist()):
                 found = tokens(text or b"")
-                for places in MASKS:
+                for span, places in [*((0, m) for m in MASKS), *((len(m), m) for m in (short_masks(len(found)) if short else ()))]:
                     hashes = seeds(found, places)
+                    n = len(hashes)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(hashes.view(np.int64)), pa.array([name] * len(hashes), pa.int64()), pa.array(np.arange(len(hashes), dtype=np.int32))],
-                        ["seed", "item_id", "pos"],
+                        [pa.array(hashes.view(np.int64)), pa.array([name] * n, pa.int64()), pa.array(np.arange(n, dtype=np.int32)), pa.array([span] * n, pa.int32())],
+                        ["seed", "item_id", "pos", "span"],
                     )
 
-    return _texts(items, "item_id").mapInArrow(batches, "seed long, item_id long, pos int")
+    return _texts(items, "item_id").mapInArrow(batches, "seed long, item_id long, pos int, span int")
 
 
 def _texts(df: DataFrame, key: str) -> DataFrame:
@@ -101,16 +113,41 @@ def stretch(same: np.ndarray) -> tuple[int, int, int]:
     return begin, begin + length, int(same[begin : begin + length].sum())
 
 
-def overlaps(docs: DataFrame, benchmark: DataFrame, least: int = 13, matched: int = 10) -> DataFrame:
+def windows(same: np.ndarray, n: int, least: int, matched: int) -> tuple[int, int, int]:
+    """(begin, end, matches) of the windows that hold matches enough of an item of n tokens, those that meet as one; (0, 0, 0) if none does.
+
+    Of several the one with the most matches, then the first. Changed tokens at its ends are left out down to one window's length.
+    """
+    size = min(least, n)
+    need = n if n < SHORTEST else -(-matched * size // least)
+    if not 0 < size <= len(same):
+        return 0, 0, 0
+    total = np.concatenate([[0], np.cumsum(same)])
+    good = np.flatnonzero(total[size:] - total[:-size] >= need)
+    best = (0, 0, 0)
+    for run in np.split(good, np.flatnonzero(np.diff(good) > size) + 1) if len(good) else ():
+        begin, end = int(run[0]), int(run[-1]) + size
+        while end - begin > size and not same[begin]:
+            begin += 1
+        while end - begin > size and not same[end - 1]:
+            end -= 1
+        best = max(best, (begin, end, int(total[end] - total[begin])), key=lambda x: x[2])
+    return best
+
+
+def overlaps(docs: DataFrame, benchmark: DataFrame, least: int = 13, matched: int = 10, rule: str = "stretch") -> DataFrame:
     """(doc_id, item_id, start, length, matches, row_key): the best overlap of each document with each item of which it holds a passage.
 
     ``start`` counts the document's tokens. Documents without an overlap give no row, nor do null or empty texts and items.
     Rows are told apart by ``row_key``, a hash of doc_id and text, so a null or repeated doc_id does no harm; repeated rows
-    and items give one result each time they differ in text.
+    and items give one result each time they differ in text. ``rule``: ``windows`` or ``stretch``, see above.
     """
     spark = docs.sparkSession
     ship(spark)
-    items = stored(item_seeds(benchmark), "seeds")
+    near = {"windows": True, "stretch": False}[rule]
+    items = stored(item_seeds(benchmark, near), "seeds")
+    spans = sorted(r.span for r in items.filter("span > 0").select("span").distinct().collect())  # of 1 to 5 tokens: only those that occur
+    masks = [*MASKS, *(tuple(range(n)) for n in spans)]
     bits = spark.sparkContext.broadcast(bitmap(items))
     def hits(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = bits.value
@@ -120,10 +157,12 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, least: int = 13, matched: in
                 keys, found, places_found = [], [], []
                 for key, text in zip(part.column("row_key").to_pylist(), part.column("text").cast(pa.binary()).to_pylist()):
                     own = tokens(text or b"")
-                    for places in MASKS:
+                    for places in masks:
                         hashes = seeds(own, places)
                         bit = bit_of(hashes)
                         hit = np.flatnonzero((table[bit >> np.uint64(6)] >> (bit & np.uint64(63))) & np.uint64(1))
+                        if len(hit) and len(places) < SHORTEST and places != NEAR:
+                            hit = hit[np.unique(hashes[hit], return_index=True)[1]]  # whole items: their first place is enough
                         if len(hit):
                             keys.append(np.full(len(hit), key))
                             found.append(hashes[hit])
@@ -135,7 +174,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, least: int = 13, matched: in
                     )
 
     keyed = _texts(docs, "doc_id").withColumn("row_key", F.xxhash64("doc_id", "text"))
-    joined = keyed.select("row_key", "text").mapInArrow(hits, "row_key long, seed long, at long").join(items, "seed")
+    joined = keyed.select("row_key", "text").mapInArrow(hits, "row_key long, seed long, at long").join(items.drop("span"), "seed")
     # Each alignment once, however many seeds speak for it.
     aligned = stored(joined.select("row_key", "item_id", (F.col("at") - F.col("pos")).alias("offset")).distinct(), "aligned")
     whole = _texts(benchmark, "item_id").filter("text IS NOT NULL").withColumnRenamed("text", "item").distinct()
@@ -153,8 +192,14 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, least: int = 13, matched: in
                 item, best = tokens(row["item"].encode()), None
                 for offset in row["offsets"]:
                     lo, hi = max(offset, 0), min(offset + len(item), len(own))
-                    begin, end, same = stretch(own[lo:hi] == item[lo - offset : hi - offset]) if hi > lo else (0, 0, 0)
-                    if end - begin >= min(least, len(item)) and same >= min(matched, len(item)):
+                    equal = own[lo:hi] == item[lo - offset : hi - offset]
+                    if near:
+                        begin, end, same = windows(equal, len(item), least, matched)
+                        found = same > 0
+                    else:
+                        begin, end, same = stretch(equal) if hi > lo else (0, 0, 0)
+                        found = end - begin >= min(least, len(item)) and same >= min(matched, len(item))
+                    if found:
                         best = max(best or (0, 0, 0), (same, begin - end, -(lo + begin)))
                 if best:
                     rows.append((row["doc_id"], row["item_id"], -best[2], -best[1], best[0], row["row_key"]))
@@ -166,7 +211,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, least: int = 13, matched: in
     return with_text.mapInArrow(verify, "doc_id long, item_id long, start long, length long, matches long, row_key long").distinct()
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, **settings: int) -> DataFrame:
+def clean(docs: DataFrame, benchmark: DataFrame, **settings: int | str) -> DataFrame:
     """The rows of ``docs``, all columns, that hold no passage of the benchmark."""
     found = stored(overlaps(docs, benchmark, **settings).select("row_key").distinct(), "leaks")
     named = F.broadcast(found) if found.count() <= FEW else found

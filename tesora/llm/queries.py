@@ -52,7 +52,7 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document and benchmark item that share a passage."""
-    found = decontaminate.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    found = decontaminate.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), rule="windows")
     return found.drop("row_key")
 
 
