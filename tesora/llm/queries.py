@@ -29,7 +29,7 @@ def op1_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_simhash_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of every document that repeat an earlier line, exactly or nearly."""
-    found = line_dedup.removed_lines(table(spark, sf_dir, "documents"))
+    found = line_dedup.removed_lines(table(spark, sf_dir, "documents"), rule="edit")
     return found.select("doc_id", "n_lines", F.size("removed").cast("long").alias("n_removed"), "removed")
 
 
