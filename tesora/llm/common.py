@@ -11,7 +11,11 @@ import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,6 +37,18 @@ def n_words_of(column: str | Column = "text") -> Column:
     return F.regexp_count(text_of(column), F.lit(WORD)).cast("long")
 
 
+def in_parts(source: Iterator[pa.RecordBatch], column: str = "text", limit: int = 1 << 24) -> Iterator[pa.RecordBatch]:
+    """The rows of Arrow batches in slices whose binary ``column`` has ``limit`` bytes or a single row: few texts become Python objects at once."""
+    for batch in source:
+        ends = np.cumsum(pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False))
+        at = 0
+        while at < batch.num_rows:
+            before = ends[at - 1] if at else 0
+            end = max(at + 1, int(np.searchsorted(ends, before + limit, side="right")))
+            yield batch.slice(at, end - at)
+            at = end
+
+
 def shared_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder that driver and executors reach, under ``spark.checkpoint.dir``.
 

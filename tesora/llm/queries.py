@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tesora.llm import bitplane, decontaminate, line_dedup, mixing, near_dup, quality, sharding, substrings, token_counts, topk
+from tesora.llm import (
+    bitplane,
+    boosted_rules,
+    decontaminate,
+    line_dedup,
+    mixing,
+    near_dup,
+    phrases,
+    quality,
+    sharding,
+    substrings,
+    token_counts,
+    topk,
+    turn_repair,
+)
 from tesora.llm.common import n_words_of, stored, text_of
 
 
@@ -83,13 +97,28 @@ def op10_norm_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, 5)
 
 
+def op11_boosted_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts, base rule and verdict of the boosted trees for every document."""
+    return boosted_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("score")
+
+
+def op12_toivonen_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each language's first 2000 collocations of two or three words."""
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+def op13_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation, damaged by rule and repaired."""
+    return turn_repair.digests(turn_repair.repair(turn_repair.damage(table(spark, sf_dir, "conversations"))))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {name: f for name, f in globals().items() if name.startswith("op")}
     return dict(sorted(found.items(), key=lambda x: int(x[0][2:].split("_")[0])))
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_norm_buckets": NEAREST}
+    return {"op10_norm_buckets": NEAREST, "op12_toivonen_phrases": PHRASES, "op13_turn_repair": REPAIRED}
 
 
 NEAREST = """
@@ -106,3 +135,102 @@ SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DE
 FROM scored
 QUALIFY rank <= 5
 """
+
+PHRASES = """
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang,
+           unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[.,;:!?\\x0A-\\x0D]')) AS piece
+    FROM documents
+), split AS (
+    SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM pieces
+), grams AS (
+    SELECT lang, size, list_slice(w, i, i + size - 1) AS g, count(*) AS f
+    FROM (SELECT lang, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM split, (VALUES (1), (2), (3)) AS sizes(size) WHERE len(w) >= size)
+    GROUP BY ALL
+), total AS (
+    SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM grams WHERE size = 1 GROUP BY lang
+), candidates AS (
+    SELECT * FROM grams WHERE size > 1 AND f >= 10
+), cut AS (
+    SELECT c.lang, c.g, c.size, c.f AS a, k, x.f AS l, y.f AS r, (1000000::HUGEINT * c.f * c.f) // (x.f::HUGEINT * y.f) AS score
+    FROM (SELECT *, unnest(range(1, size)) AS k FROM candidates) c
+    JOIN grams x ON x.lang = c.lang AND x.g = c.g[1:k]
+    JOIN grams y ON y.lang = c.lang AND y.g = c.g[k + 1:c.size]
+), best AS (
+    SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1
+), inside AS (
+    SELECT lang, g[i:i + 1] AS g, max(f) AS longer
+    FROM (SELECT *, unnest([1, 2]) AS i FROM candidates WHERE size = 3)
+    GROUP BY 1, 2
+)
+SELECT b.lang, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, array_to_string(b.g, ' ')) AS rank,
+       array_to_string(b.g, ' ') AS phrase, a, l, r, n, CAST(score AS BIGINT) AS score
+FROM best b JOIN total t ON t.lang = b.lang LEFT JOIN inside i ON i.lang = b.lang AND i.g = b.g
+WHERE i.longer IS NULL OR 100 * i.longer < 50 * a
+QUALIFY rank <= 2000
+"""
+
+REPAIRED = """
+WITH RECURSIVE crc AS (
+    SELECT list_transform(range(256), lambda n: list_reduce(
+        list_prepend(n, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END)) AS t
+), named AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+           xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(
+               coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''), lambda x: ord(x)::BIGINT)),
+               lambda c, b: xor(t[1 + (xor(c, b) & 255)], c >> 8))) % 20 AS how
+    FROM conversations, crc
+), damaged AS (
+    SELECT conv_id, turn, CASE WHEN how = 4 THEN 'user' ELSE role END AS role,
+           CASE how WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+           unnest(range(CASE how WHEN 3 THEN 2 ELSE 1 END)) AS copy
+    FROM named WHERE how <> 0
+), numbered AS (
+    SELECT *, regexp_replace(text, '[\\x20\\x09-\\x0D]+$', '') AS bare,
+           row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i
+    FROM damaged
+), judged AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) AS seen,
+           CASE WHEN bare = '' THEN 'blank' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+                WHEN right(bare, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+           lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) || left(role, 1) AS pair
+    FROM numbered
+), inserts (a, n, b, audit, lines) AS (
+    VALUES (0, 0, 0, '', ''), (0, 1, 2, 'I', E'\nuser:'), (0, 2, 3, 'II', E'\nuser:\nassistant:'),
+           (1, 0, 1, '', ''), (1, 1, 2, 'I', E'\nuser:'), (1, 2, 3, 'II', E'\nuser:\nassistant:'),
+           (2, 0, 2, '', ''), (2, 1, 3, 'I', E'\nassistant:'), (2, 2, 2, 'II', E'\nassistant:\nuser:'),
+           (3, 0, 3, '', ''), (3, 1, 2, 'I', E'\nuser:'), (3, 2, 3, 'II', E'\nuser:\nassistant:')
+), edits (e, price, b, initial, c) AS (
+    VALUES ('D', 2, 0, NULL, 0), ('D', 2, 1, NULL, 1), ('D', 2, 2, NULL, 2), ('D', 2, 3, NULL, 3),
+           ('R', 1, 0, NULL, 2), ('R', 1, 1, NULL, 2), ('R', 1, 2, NULL, 3), ('R', 1, 3, NULL, 2),
+           ('K', 0, 0, 's', 1), ('K', 0, 0, 'u', 2), ('K', 0, 1, 'u', 2), ('K', 0, 2, 'a', 3), ('K', 0, 3, 'u', 2)
+), fold AS (
+    SELECT DISTINCT conv_id, 0::BIGINT AS i, 0 AS state, 0::BIGINT AS cost, '' AS audit, '' AS lines FROM conversations
+    UNION ALL
+    (SELECT conv_id, i, state, cost, audit, lines FROM (
+        SELECT j.conv_id, j.i, e.c AS state,
+               f.cost + 5 * s.n + e.price + CASE WHEN e.e <> 'D' AND fault = 'truncated' THEN 5 ELSE 0 END AS cost,
+               f.audit || s.audit || e.e AS audit,
+               f.lines || s.lines || CASE e.e WHEN 'D' THEN '' WHEN 'K' THEN E'\n' || role || ':' || text
+                   ELSE CASE e.c WHEN 3 THEN E'\nassistant:' ELSE E'\nuser:' END || text END AS lines
+        FROM fold f
+        JOIN judged j ON j.conv_id IS NOT DISTINCT FROM f.conv_id AND j.i = f.i + 1
+        JOIN inserts s ON s.a = f.state
+        JOIN edits e ON e.b = s.b AND (e.e = 'D' OR fault NOT IN ('blank', 'duplicate')) AND (e.e <> 'K' OR e.initial = left(role, 1))
+    ) QUALIFY row_number() OVER (PARTITION BY conv_id, state ORDER BY cost, audit) = 1)
+), counts AS (
+    SELECT conv_id, count(*) AS n_rows, max(turn) - min(turn) + 1 - count(DISTINCT turn) AS gaps,
+           count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+           count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal
+    FROM judged GROUP BY conv_id
+), ended AS (
+    SELECT f.conv_id, f.cost + 5 * s.n AS cost, f.audit || s.audit AS audit, f.lines || s.lines AS lines, c.* EXCLUDE (conv_id, n_rows)
+    FROM fold f LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM f.conv_id JOIN inserts s ON s.a = f.state AND s.b IN (0, 3)
+    WHERE f.i = coalesce(c.n_rows, 0)
+    QUALIFY row_number() OVER (PARTITION BY f.conv_id ORDER BY f.cost + 5 * s.n, f.audit || s.audit) = 1
+)
+SELECT conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, cost, audit, sha256(substr(lines, 2)) AS repaired_sha256
+FROM ended
+"""
