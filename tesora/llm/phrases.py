@@ -22,7 +22,9 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+import zstandard
+from pyspark import Broadcast
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tesora.llm.common import in_parts, ship, stored, text_of
@@ -98,6 +100,14 @@ class Proposed:
     def same(self, other: Proposed) -> bool:
         return all(np.array_equal(a, b) for a, b in zip(self.maps, other.maps))
 
+    def sent(self, spark: SparkSession) -> Broadcast:
+        """For tasks, compressed: sparse bitmaps take a few bytes a phrase, full ones their fixed size."""
+        return spark.sparkContext.broadcast([zstandard.compress(m.tobytes(), 1) for m in self.maps])
+
+    @classmethod
+    def received(cls, sent: Broadcast) -> Proposed:
+        return cls(tuple(np.frombuffer(zstandard.decompress(m), np.uint64) for m in sent.value))
+
 
 def _count(lang: str, a: np.ndarray, words: Numbering, hashes: np.ndarray, now: Proposed, before: Proposed | None, exact: bool) -> Iterator[tuple]:
     """(size, phrases or None, keys, counts) of one language's words, for what ``now`` counts and ``before`` did not."""
@@ -138,18 +148,16 @@ def _count(lang: str, a: np.ndarray, words: Numbering, hashes: np.ndarray, now:
         new, old = new & ahead, old & behind
 
 
-def tally(docs: DataFrame, now: Proposed, before: Proposed | None = None, exact: bool = True) -> DataFrame:
+def tally(docs: DataFrame, sent_now: Broadcast, sent_before: Broadcast | None = None, exact: bool = True) -> DataFrame:
     """(lang, size, phrase, key, n) added up over (lang, text): words and proposed phrases by text, border phrases by key.
 
-    What a pass with the proposals ``before`` has counted already is left out. A row of size 0 has a language's words.
+    What a pass with the proposals ``sent_before`` has counted already is left out. A row of size 0 has a language's words.
     Without ``exact``, all are counted by key alone.
     """
-    spark = docs.sparkSession
-    ship(spark)
-    held = spark.sparkContext.broadcast((now, before))
+    ship(docs.sparkSession)
 
     def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, before = held.value
+        now, before = Proposed.received(sent_now), Proposed.received(sent_before) if sent_before else None
         words, hashes = Numbering(), np.zeros(1, np.uint64)
         for part in in_parts(source):
             if len(words) > WORDS_KEPT:
@@ -185,10 +193,13 @@ def propose(docs: DataFrame, sample: float, least: int, longest: int, bits: int)
     """Mines the documents whose hash falls into the sampled share, under the lowered threshold ``least``."""
     spread = 1 << 20
     part = docs.filter(F.pmod(F.xxhash64("lang", "text"), F.lit(spread)) < int(sample * spread))
-    now, before = Proposed.nothing(longest, bits), None
+    now, sent = Proposed.nothing(longest, bits), [None]
     for size in range(1, longest + 1):
-        found = tally(part, now, before, exact=False).filter((F.col("size") == size) & (F.col("n") >= least))
-        now, before = now.with_keys(found), now
+        sent.append(now.sent(docs.sparkSession))
+        found = tally(part, sent[-1], sent[-2], exact=False).filter((F.col("size") == size) & (F.col("n") >= least))
+        now = now.with_keys(found)
+    for old in sent[1:]:
+        old.destroy()
     return now
 
 
@@ -196,13 +207,16 @@ def frequent(docs: DataFrame, least: int = 10, longest: int = 3, sample: float =
     """(lang, size, phrase, n) of every word and phrase of up to ``longest`` words with ``least`` occurrences or more, and a row of
     size 0 and empty phrase with each language's number of words. ``docs`` has (lang, text), without nulls. The sample decides
     how many passes are needed, never the result."""
-    now, before, passes = propose(docs, sample, lowered, longest, bits), None, []
+    now, sent, passes = propose(docs, sample, lowered, longest, bits), [None], []
     while True:
-        passes.append(stored(tally(docs, now, before).filter((F.col("n") >= least) | (F.col("size") == 0)), "phrases"))
+        sent.append(now.sent(docs.sparkSession))
+        passes.append(stored(tally(docs, sent[-1], sent[-2]).filter((F.col("n") >= least) | (F.col("size") == 0)), "phrases"))
         grown = now.with_keys(passes[-1].filter((F.col("size") > 0) & (F.col("n") >= least)).select("size", "key"))
         if grown.same(now):
             break
-        now, before = grown, now
+        now = grown
+    for old in sent[1:]:
+        old.destroy()
     every = passes[0]
     for more in passes[1:]:
         every = every.unionByName(more)
