@@ -8,9 +8,8 @@
    counts what that adds to the proposals and to their border, until a pass brings no failure. Every part of a frequent
    phrase is frequent, so the border of the last pass leaves nothing out.
 
-Words and proposed phrases are counted as text. A border phrase is counted under a 64-bit hash: two that fall together
-can only seem more frequent than they are, which costs an exact count in the next pass and loses nothing. Tasks know the
-proposals as bitmaps of fixed size; a phrase that only seems proposed is counted exactly and then found infrequent.
+All passes over all documents count phrases as text. The sample is counted under 64-bit hashes, and tasks know the
+proposals as bitmaps of fixed size: a phrase that only seems proposed is counted exactly and then found infrequent.
 """
 
 from __future__ import annotations
@@ -30,13 +29,13 @@ from pyspark.sql import functions as F
 from tesora.llm.common import in_parts, ship, stored, text_of
 
 BITS = 26
-WORDS_KEPT = 1_000_000  # that a task numbers before it starts anew
+WORDS_KEPT = 300_000  # that a task numbers before it starts anew
+PART = 1 << 22  # bytes of texts that a task counts at once
 SLICE = 1 << 20
 
-# Breaks become a byte that UTF-8 never holds.
-_BREAKS = bytes.maketrans(b".,;:!?\n\x0b\x0c\r", b"\xff" * 10)
+# Breaks become a byte that UTF-8 never holds, A-Z lower case.
+_PLAIN = bytes.maketrans(b".,;:!?\n\x0b\x0c\r" + bytes(range(65, 91)), b"\xff" * 10 + bytes(range(97, 123)))
 _EDGE = re.compile(rb"[ \t.,;:!?\n\x0b\x0c\r]")
-_COUNTED = "lang string, size int, phrase binary, key long, n long"
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -63,7 +62,7 @@ class Numbering(dict):
         while at < len(text):
             edge = _EDGE.search(text, at + SLICE)
             end = edge.start() if edge else len(text)
-            found = text[at:end].lower().translate(_BREAKS).replace(b"\xff", b" \xff ").split()
+            found = text[at:end].translate(_PLAIN).replace(b"\xff", b" \xff ").split()
             out.append(np.fromiter(map(self.__getitem__, found), np.int64, len(found)))
             at = end
         out.append(np.zeros(1, np.int64))
@@ -72,13 +71,13 @@ class Numbering(dict):
 
 @dataclass(frozen=True)
 class Proposed:
-    """What is proposed: a bitmap of phrase hashes for each size from 1 on."""
+    """What is proposed: a bitmap of phrase hashes for each size but the longest, which no further phrase rests on."""
 
     maps: tuple[np.ndarray, ...]
 
     @classmethod
     def nothing(cls, longest: int, bits: int) -> Proposed:
-        return cls(tuple(np.zeros(2**bits // 64, np.uint64) for _ in range(longest)))
+        return cls(tuple(np.zeros(2**bits // 64, np.uint64) for _ in range(longest - 1)))
 
     def has(self, size: int, keys: np.ndarray) -> np.ndarray:
         table = self.maps[size - 1]
@@ -109,109 +108,158 @@ class Proposed:
         return cls(tuple(np.frombuffer(zstandard.decompress(m), np.uint64) for m in sent.value))
 
 
-def _count(lang: str, a: np.ndarray, words: Numbering, hashes: np.ndarray, now: Proposed, before: Proposed | None, exact: bool) -> Iterator[tuple]:
-    """(size, phrases or None, keys, counts) of one language's words, for what ``now`` counts and ``before`` did not."""
-    seed = np.uint64(xxhash.xxh3_64_intdigest(lang))
-    key = _mix(hashes[a] ^ seed)
-    runs, within = a, a > 0
-    new = old = within  # words are counted by the first pass, so an earlier one had all of them
-    for size in range(1, len(now.maps) + 1):
-        if size > 1:
-            new = new[:-1] & new[1:]
-            old = old[:-1] & old[1:]
-            if not new.any():
-                return
-            place = np.flatnonzero(new)
-            key = _mix(key[:-1] * np.uint64(3) + _mix(hashes[a[size - 1 :]] + np.uint64(size)))
-        else:
-            place = np.flatnonzero(within)
-        pair = (runs[place] << 32) | a[place + size - 1]
-        found, first, inverse, n = np.unique(pair, return_index=True, return_inverse=True, return_counts=True)
-        runs = np.zeros(len(new), np.int64)
-        runs[place] = inverse
-        at = place[first]
-        proposed, known = now.has(size, key[at]), before.has(size, key[at]) if before else np.zeros(len(at), bool)
-        counted = old[at] if before else np.zeros(len(at), bool)
-        as_text = (proposed if size > 1 else np.ones(len(at), bool)) & ~(counted & known if size > 1 else counted)
-        as_hash = ~proposed & ~counted if size > 1 else np.zeros(len(at), bool)
-        if not exact:
-            as_text, as_hash = np.zeros(len(at), bool), as_hash | (as_text if size == 1 else False)
-        for some, named in ((as_text, True), (as_hash, False)):
-            if some.any():
-                text = [b" ".join([words.words[w] for w in a[i : i + size]]) for i in at[some].tolist()] if named else None
-                yield size, text, key[at[some]], n[some]
-        ahead = np.zeros(len(new), bool)
-        ahead[place] = proposed[inverse]
-        behind = np.zeros(len(new), bool)
-        if before:
-            behind[place] = known[inverse]
-        new, old = new & ahead, old & behind
-
-
-def tally(docs: DataFrame, sent_now: Broadcast, sent_before: Broadcast | None = None, exact: bool = True) -> DataFrame:
-    """(lang, size, phrase, key, n) added up over (lang, text): words and proposed phrases by text, border phrases by key.
-
-    What a pass with the proposals ``sent_before`` has counted already is left out. A row of size 0 has a language's words.
-    Without ``exact``, all are counted by key alone.
-    """
+def _runs(a: np.ndarray, place: np.ndarray, size: int, n_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """The different runs of ``size`` numbers at the places, a row each, and how often each stands there."""
+    bits = n_words.bit_length()
+    if bits * size <= 63:
+        code = np.zeros(len(place), np.int64)
+        for i in range(size):
+            code = (code << bits) | a[place + i]
+        code.sort()
+        first = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]]))
+        shifts = bits * np.arange(size - 1, -1, -1)
+        return (code[first, None] >> shifts) & ((1 << bits) - 1), np.diff(np.append(first, len(code)))
+    code = a[place]
+    for i in range(1, size):
+        _, code = np.unique((code << 32) | a[place + i], return_inverse=True)
+    _, first, n = np.unique(code, return_index=True, return_counts=True)
+    return a[place[first, None] + np.arange(size)], n
+
+
+@dataclass(frozen=True)
+class Hashes:
+    """Hashes of the words by number, and how those of a language's phrases follow from them, word by word."""
+
+    firsts: np.ndarray
+    later: list[np.ndarray]
+
+    @classmethod
+    def of(cls, words: np.ndarray, lang: str, later: list[np.ndarray]) -> Hashes:
+        return cls(_mix(words ^ np.uint64(xxhash.xxh3_64_intdigest(lang))), later)
+
+    def one_more(self, key: np.ndarray, size: int, last: np.ndarray) -> np.ndarray:
+        return _mix(key * np.uint64(3) + self.later[size - 2][last])
+
+    def runs(self, runs: np.ndarray) -> np.ndarray:
+        key = self.firsts[runs[:, 0]]
+        for i in range(1, runs.shape[1]):
+            key = self.one_more(key, i + 1, runs[:, i])
+        return key
+
+
+def _later(words: np.ndarray, longest: int) -> list[np.ndarray]:
+    return [_mix(words + np.uint64(size)) for size in range(2, longest + 1)]
+
+
+def _count(a: np.ndarray, n_words: int, hashes: Hashes, now: Proposed, before: Proposed | None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(runs of numbers, counts) of one language's words, for what ``now`` counts and ``before`` did not."""
+    if before is None:  # the first pass counts all words
+        n = np.bincount(a, minlength=1)
+        n[0] = 0
+        runs = np.flatnonzero(n)[:, None]
+        if len(runs):
+            yield runs, n[runs[:, 0]]
+    key, new = hashes.firsts[a], a > 0
+    old = new & before.has(1, key) if before else np.zeros(len(a), bool)
+    new = new & now.has(1, key)
+    for size in range(2, len(now.maps) + 2):
+        new, old = new[:-1] & new[1:], old[:-1] & old[1:]
+        if not new.any():
+            return
+        place = np.flatnonzero(new & ~old)
+        if len(place):
+            yield _runs(a, place, size, n_words)
+        if size <= len(now.maps):
+            key = hashes.one_more(key[:-1], size, a[size - 1 :])
+            new = new & now.has(size, key)
+            old = old & before.has(size, key) if before else old
+
+
+def _passed(docs: DataFrame, sent_now: Broadcast, sent_before: Broadcast | None, schema: str, emit) -> DataFrame:
+    """One pass: ``emit`` gets a language, runs, counts, words and hashes, and makes Arrow batches of them."""
     ship(docs.sparkSession)
 
     def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, before = Proposed.received(sent_now), Proposed.received(sent_before) if sent_before else None
-        words, hashes = Numbering(), np.zeros(1, np.uint64)
-        for part in in_parts(source):
+        words, hashed = Numbering(), np.zeros(1, np.uint64)
+        for part in in_parts(source, limit=PART):
             if len(words) > WORDS_KEPT:
-                words, hashes = Numbering(), np.zeros(1, np.uint64)
+                words, hashed = Numbering(), np.zeros(1, np.uint64)
             of: dict[str, list[np.ndarray]] = {}
             for lang, text in zip(part.column("lang").to_pylist(), part.column("text").to_pylist()):
                 of.setdefault(lang, []).extend(words.text(text))
-            more = [xxhash.xxh3_64_intdigest(w) for w in words.words[len(hashes) :]]
-            hashes = np.concatenate([hashes, np.array(more, np.uint64)])
+            hashed = np.concatenate([hashed, np.array([xxhash.xxh3_64_intdigest(w) for w in words.words[len(hashed) :]], np.uint64)])
+            later = _later(hashed, len(now.maps) + 1)
             for lang, arrays in of.items():
-                a = np.concatenate(arrays)
-                if exact and before is None:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([lang]), pa.array([0], pa.int32()), pa.array([b""]), pa.array([0]), pa.array([np.count_nonzero(a)])], ["lang", "size", "phrase", "key", "n"]
-                    )
-                for size, text, key, n in _count(lang, a, words, hashes, now, before, exact):
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array([lang] * len(n)) if text else pa.nulls(len(n), pa.string()),
-                            pa.array(np.full(len(n), size, np.int32)),
-                            pa.array(text, pa.binary()) if text else pa.nulls(len(n), pa.binary()),
-                            pa.array(key.view(np.int64)),
-                            pa.array(n),
-                        ],
-                        ["lang", "size", "phrase", "key", "n"],
-                    )
-
-    counted = docs.select("lang", F.col("text").cast("binary").alias("text")).mapInArrow(batches, _COUNTED)
-    return counted.groupBy("lang", "size", "phrase", "key").agg(F.sum("n").alias("n"))
+                hashes = Hashes.of(hashed, lang, later)
+                for runs, n in _count(np.concatenate(arrays), len(words.words), hashes, now, before):
+                    yield emit(lang, runs, n, words.words, hashes)
+
+    return docs.select("lang", F.col("text").cast("binary").alias("text")).mapInArrow(batches, schema)
+
+
+def tally(docs: DataFrame, sent_now: Broadcast, sent_before: Broadcast | None = None) -> DataFrame:
+    """(lang, phrase, n) added up over (lang, text): all words, proposed phrases and border phrases that no pass with the
+    proposals ``sent_before`` has counted; the empty phrase for all words of a language."""
+
+    def emit(lang: str, runs: np.ndarray, n: np.ndarray, words: list[bytes], hashes: Hashes) -> pa.RecordBatch:
+        tail = b"\n" + lang.encode()  # no phrase holds a line end
+        text = [b" ".join([words[w] for w in run]) + tail for run in runs.tolist()]
+        if runs.shape[1] == 1:
+            text, n = [*text, tail], np.append(n, n.sum())
+        return pa.RecordBatch.from_arrays([pa.array(text, pa.binary()), pa.array(n)], ["named", "n"])
+
+    counted = _passed(docs, sent_now, sent_before, "named binary, n long", emit).groupBy("named").agg(F.sum("n").alias("n"))
+    named = F.col("named").cast("string")
+    phrase = F.substring_index(named, "\n", 1)
+    return counted.select(F.substr(named, F.length(phrase) + 2).alias("lang"), phrase.alias("phrase"), "n")
+
+
+def keys(found: DataFrame, longest: int) -> DataFrame:
+    """(size, key) of counted phrases that a longer one may rest on."""
+    ship(found.sparkSession)
+
+    def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in source:
+            out = []
+            for lang, phrase in zip(batch.column("lang").to_pylist(), batch.column("phrase").to_pylist()):
+                hashed = np.array([xxhash.xxh3_64_intdigest(w) for w in phrase.split(b" ")], np.uint64)
+                out.append((len(hashed), Hashes.of(hashed, lang, _later(hashed, longest)).runs(np.arange(len(hashed))[None])[0]))
+            size, key = zip(*out) if out else ((), ())
+            yield pa.RecordBatch.from_arrays([pa.array(size, pa.int32()), pa.array(np.array(key, np.uint64).view(np.int64))], ["size", "key"])
+
+    inner = found.filter((F.col("phrase") != "") & (F.regexp_count("phrase", F.lit(" ")) < longest - 1))
+    return inner.select("lang", F.col("phrase").cast("binary").alias("phrase")).mapInArrow(batches, "size int, key long")
 
 
 def propose(docs: DataFrame, sample: float, least: int, longest: int, bits: int) -> Proposed:
     """Mines the documents whose hash falls into the sampled share, under the lowered threshold ``least``."""
     spread = 1 << 20
     part = docs.filter(F.pmod(F.xxhash64("lang", "text"), F.lit(spread)) < int(sample * spread))
+
+    def emit(lang: str, runs: np.ndarray, n: np.ndarray, words: list[bytes], hashes: Hashes) -> pa.RecordBatch:
+        size = pa.array(np.full(len(n), runs.shape[1], np.int32))
+        return pa.RecordBatch.from_arrays([size, pa.array(hashes.runs(runs).view(np.int64)), pa.array(n)], ["size", "key", "n"])
+
     now, sent = Proposed.nothing(longest, bits), [None]
-    for size in range(1, longest + 1):
+    for _ in range(longest - 1):
         sent.append(now.sent(docs.sparkSession))
-        found = tally(part, sent[-1], sent[-2], exact=False).filter((F.col("size") == size) & (F.col("n") >= least))
-        now = now.with_keys(found)
+        counted = _passed(part, sent[-1], sent[-2], "size int, key long, n long", emit)
+        now = now.with_keys(counted.groupBy("size", "key").agg(F.sum("n").alias("n")).filter(F.col("n") >= least))
     for old in sent[1:]:
         old.destroy()
     return now
 
 
-def frequent(docs: DataFrame, least: int = 10, longest: int = 3, sample: float = 0.25, lowered: int = 2, bits: int = BITS) -> DataFrame:
+def frequent(docs: DataFrame, least: int = 10, longest: int = 3, sample: float = 0.25, lowered: int = 3, bits: int = BITS) -> DataFrame:
     """(lang, size, phrase, n) of every word and phrase of up to ``longest`` words with ``least`` occurrences or more, and a row of
     size 0 and empty phrase with each language's number of words. ``docs`` has (lang, text), without nulls. The sample decides
     how many passes are needed, never the result."""
     now, sent, passes = propose(docs, sample, lowered, longest, bits), [None], []
     while True:
         sent.append(now.sent(docs.sparkSession))
-        passes.append(stored(tally(docs, sent[-1], sent[-2]).filter((F.col("n") >= least) | (F.col("size") == 0)), "phrases"))
-        grown = now.with_keys(passes[-1].filter((F.col("size") > 0) & (F.col("n") >= least)).select("size", "key"))
+        passes.append(stored(tally(docs, sent[-1], sent[-2]).filter(F.col("n") >= least), "phrases"))
+        grown = now.with_keys(keys(passes[-1], longest))
         if grown.same(now):
             break
         now = grown
@@ -220,7 +268,8 @@ def frequent(docs: DataFrame, least: int = 10, longest: int = 3, sample: float =
     every = passes[0]
     for more in passes[1:]:
         every = every.unionByName(more)
-    return every.filter("phrase IS NOT NULL").select("lang", "size", F.col("phrase").cast("string").alias("phrase"), "n")
+    size = F.when(F.col("phrase") == "", 0).otherwise(F.regexp_count("phrase", F.lit(" ")) + 1)
+    return every.select("lang", size.alias("size"), "phrase", "n")
 
 
 def collocations(

@@ -62,7 +62,7 @@ def test_the_sample_never_changes_the_result(spark, sample, longest):
 
 
 def test_failures_of_words_pairs_and_triples_are_found(spark):
-    """No proposal at all: words fail first, then their pairs, then triples; four passes."""
+    """No proposal at all: words fail first, then their pairs; three passes."""
     rows = [("en", "x y z. " * 12 + "p q. " * 12 + "once more")]
     found = phrases.frequent(spark.createDataFrame(rows, "lang string, text string"), sample=0.0, bits=12)
     got = {r.phrase: r.n for r in found.collect() if r["size"]}
