@@ -221,12 +221,15 @@ def keys(found: DataFrame, longest: int) -> DataFrame:
 
     def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in source:
-            out = []
+            words, of = Numbering(), {}
             for lang, phrase in zip(batch.column("lang").to_pylist(), batch.column("phrase").to_pylist()):
-                hashed = np.array([xxhash.xxh3_64_intdigest(w) for w in phrase.split(b" ")], np.uint64)
-                out.append((len(hashed), Hashes.of(hashed, lang, _later(hashed, longest)).runs(np.arange(len(hashed))[None])[0]))
-            size, key = zip(*out) if out else ((), ())
-            yield pa.RecordBatch.from_arrays([pa.array(size, pa.int32()), pa.array(np.array(key, np.uint64).view(np.int64))], ["size", "key"])
+                run = [words[w] for w in phrase.split(b" ")]
+                of.setdefault((lang, len(run)), []).append(run)
+            hashed = np.array([xxhash.xxh3_64_intdigest(w) for w in words.words], np.uint64)
+            later = _later(hashed, longest)
+            for (lang, size), runs in of.items():
+                key = Hashes.of(hashed, lang, later).runs(np.array(runs))
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(key), size, np.int32)), pa.array(key.view(np.int64))], ["size", "key"])
 
     inner = found.filter((F.col("phrase") != "") & (F.regexp_count("phrase", F.lit(" ")) < longest - 1))
     return inner.select("lang", F.col("phrase").cast("binary").alias("phrase")).mapInArrow(batches, "size int, key long")
