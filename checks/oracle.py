@@ -530,5 +530,38 @@ BODIES["publish_silver_contents"] = BODIES["silver_movimientos"]
 BODIES["publish_gold_contents"] = BODIES["mart_cliente_360"]
 
 
+SILVER_COLUMNS = dict(zip(SILVERS, (CLI, PRO, SUC, MOV_SILVER, OBL_SILVER, COM)))
+GOLD_COLUMNS = {
+    "dim_cliente": DIM_CLI, "dim_producto": DIM_PRO, "mart_producto_rendimiento": f"{DIM_PRO} {MOV_PRO} {OBL_PRO} {COM_ANY}", "kpi_resumen_bancario": KPI + " run_id",
+    "mart_cliente_360": f"{DIM_CLI} {MOV_CLI} {OBL_CLI} {COM_ANY} porcentaje_movimientos_sospechosos nivel_alerta_cliente",
+    "dim_sucursal": "sucursal_key nom_suc tip_punto ciudad depto latitud longitud activo",
+    "dim_fecha": "fecha_key fecha anio trimestre mes nombre_mes semana_anio dia_mes dia_semana nombre_dia es_fin_semana",
+    "fact_movimientos": "cliente_key producto_key id_mov fecha_key hra_mov num_cuenta_hash vr_mov tip_mov cod_canal cod_ciudad cod_estado_mov ind_canal_valido ind_sospechoso promedio_vr_mov_30d desv_vr_mov_30d cantidad_mov_30d",
+    "fact_obligaciones": "cliente_key producto_key id_oblig vr_aprobado vr_desembolsado sdo_capital vr_cuota fecha_desembolso_key fecha_venc_key dias_mora_act num_cuotas_pend calif_riesgo ind_montos_consistentes ind_fechas_consistentes ind_en_mora rango_mora",
+    "fact_comisiones": "cliente_key producto_key id_comision fecha_key vr_comision tip_comision estado_cobro",
+}
+
+
+def content(name: str, source: str, columns: str) -> str:
+    """Rows and the sum of the first 60 bits of their hashes."""
+    row = hashed(" ".join(c for c in columns.split() if not c.startswith("_")))
+    return f"SELECT '{name}' AS table_name, count(*) AS rows, CAST(coalesce(sum(CAST('0x' || substr({row}, 1, 15) AS BIGINT)), 0) AS VARCHAR) AS digest FROM {source}"
+
+
+BODIES["publish_layers"] = " UNION ALL ".join(
+    [content(f"silver.{name}", SILVERS[name], columns) for name, columns in SILVER_COLUMNS.items()]
+    + [content(f"gold.{name}", GOLDS[name], columns) for name, columns in GOLD_COLUMNS.items()]
+)
+BODIES["publish_metrics_once"] = BODIES["silver_run_metrics"]
+BODIES["audit_altered_contents"] = " UNION ALL ".join(
+    f"SELECT '{name}' AS table_name, count(*) AS rows, count(*) AS rows_after, {str(name != 'tb_comisiones_log').lower()} AS resultado FROM {source}"
+    for name, source in SILVERS.items()
+)
+BODIES["ingest_stale_config"] = " UNION ALL ".join(
+    f"SELECT '{name}' AS tabla, count(*) AS filas, CAST({'max(id_mov)' if source == 'src_mov' else '1'} AS BIGINT) AS marca, true AS initial_load_completed FROM {source}"
+    for name, source in SOURCES.items()
+)
+
+
 def oracle_sql() -> dict[str, str]:
     return {name: compose(body) for name, body in BODIES.items()}

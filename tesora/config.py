@@ -161,6 +161,8 @@ class LakeConfig:
     outlier_min_history: int = 2
     source_system: str = "CORE_RDBMS"
     root: str = "lake"
+    # Put before the names of the catalogue's schemas, for lakes that share a catalogue.
+    schema_prefix: str = ""
     # Ways a foreign key is spread in lookups, so that one hot client or
     # product never lands in a single task.
     salt_buckets: int = 8

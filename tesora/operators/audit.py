@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tesora.config import PERSONAL_COLUMNS, PROTECTED_ACCOUNT_COLUMN
+from tesora.functions.columns import record_hash
 
 
 class AuditError(RuntimeError):
@@ -189,6 +190,35 @@ def assert_reconciled(result: DataFrame) -> None:
         raise AuditError(f"layers disagree on: {', '.join(sorted(bad))}")
 
 
+# --- Contents ---------------------------------------------------------------
+
+
+def contents(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """table_name, rows and digest of each table: a sum over the hashes of its rows, so neither order nor partitions show.
+
+    Every business column counts, by name; a changed, missing or repeated row changes the sum. One pass a table, summed
+    on the map side.
+    """
+    first = F.conv(F.substring("_row", 1, 15), 16, 10).cast("decimal(20,0)")
+    parts = [
+        df.select(record_hash(df).alias("_row"))
+        .agg(F.count("*").alias("rows"), F.coalesce(F.sum(first), F.lit(0)).cast("string").alias("digest"))
+        .select(F.lit(name).alias("table_name"), "rows", "digest")
+        for name, df in tables.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def altered(before: Mapping[str, tuple[int, str]], after: Mapping[str, tuple[int, str]]) -> list[str]:
+    """Tables whose rows or digest differ between two states, or that only one of them has."""
+    return sorted(name for name in {*before, *after} if before.get(name) != after.get(name))
+
+
+def assert_same_contents(before: Mapping[str, tuple[int, str]], after: Mapping[str, tuple[int, str]]) -> None:
+    if bad := altered(before, after):
+        raise AuditError(f"contents differ: {', '.join(bad)}")
+
+
 # --- Runs -------------------------------------------------------------------
 
 

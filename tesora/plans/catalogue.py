@@ -31,7 +31,7 @@ from tesora.operators import audit, cleanse, quality, reports, rules
 from tesora.operators.rolling import DEVIATION, MEAN, SAMPLES
 from tesora.plans import gold, runner, silver
 from tesora.session import scratch_dir
-from tesora.sources import bindings, bronze, control, extract, sinks
+from tesora.sources import bindings, bronze, control, extract, sinks, snapshots
 from tesora.streaming.alerts import failure_alerts
 from tesora.streaming.landing import stream_bronze
 
@@ -277,6 +277,27 @@ def _(lake: Lake) -> DataFrame:
     return landed.join(state, "tabla", "left").join(events, "tabla", "left")
 
 
+@query("ingest_stale_config")
+def _(lake: Lake) -> DataFrame:
+    """Two runs that were both given the first configuration: the second starts from what the log proves and lands no row again."""
+    cfg, at = replace(CFG, root=lake.folder("stale")), RUN.as_of
+    initial = [
+        ("dbo", name.upper(), spec.strategy, spec.key, spec.watermark_column, None, None, False, True, at) for name, spec in cfg.specs.items()
+    ]
+    config, feeds = lake.spark.createDataFrame(initial, control.CONFIG_SCHEMA), {}
+    for name, spec in cfg.specs.items():
+        none = lake.spark.createDataFrame([], f"{spec.key} {spec.types[spec.key]}, version bigint, op string")
+        feeds[name] = extract.ChangeFeed(none, current_version=1, min_valid_version=1)
+    sources = {name: (lambda name=name: lake.owned(name)) for name in cfg.specs}
+    for again in ("A", "B"):
+        last = runner.run_bronze(lake.spark, sources, config, cfg, replace(RUN, run_id=f"RUN-{again}"), feeds, register=False)
+    landed = reports.table_counts({name: bronze.read_bronze(lake.spark, f"{cfg.root}/bronze", spec) for name, spec in cfg.specs.items()})
+    moved = last.config.select(
+        F.lower("source_table").alias("tabla"), F.coalesce("last_change_version", "last_watermark_value").alias("marca"), "initial_load_completed"
+    )
+    return landed.toDF("tabla", "filas").join(moved, "tabla")
+
+
 @query("bronze_stream_available_now")
 def _(lake: Lake) -> DataFrame:
     root, spec = lake.folder("stream"), CFG.specs[MOVIMIENTOS]
@@ -354,6 +375,37 @@ def _(lake: Lake) -> DataFrame:
     return runner.run_gold(lake.spark, silver_run.tables, CFG, RUN, root, register=False).tables["mart_cliente_360"].drop("_gold_processed_at_utc")
 
 
+@query("publish_layers")
+def _(lake: Lake) -> DataFrame:
+    """Both layers published, each with one commit, and every table read through its published name: rows and digest."""
+    cfg = replace(CFG, root=lake.folder("layers"), schema_prefix="published_")
+    silver_run = runner.run_silver(lake.spark, lake.bronze, cfg, RUN)
+    runner.run_gold(lake.spark, silver_run.tables, cfg, RUN)
+    names = [f"silver.{name}" for name in cfg.specs] + [f"gold.{name}" for name in gold.KINDS]
+    return audit.contents({name: lake.spark.table(f"published_{name}") for name in names})
+
+
+@query("publish_metrics_once")
+def _(lake: Lake) -> DataFrame:
+    """A run's metrics appended twice, the second time with other figures: the first append stands alone."""
+    root, columns = lake.folder("metrics"), runner.SILVER_METRICS[:-1]
+    metrics = rules.stage_metrics(lake.staged, RUN).select(*columns)
+    for df in (metrics, metrics.withColumn("silver_rows", F.lit(-1).cast("bigint"))):
+        snapshots.append_once(df, root, "quality", "silver_run_metrics", columns, RUN.run_id, register=False)
+    return snapshots.appended(lake.spark, root, "quality", "silver_run_metrics", "run_id string, table_name string, bronze_rows bigint, silver_rows bigint, quarantined_rows bigint")
+
+
+@query("audit_altered_contents")
+def _(lake: Lake) -> DataFrame:
+    """Contents of all silver tables against those with one cent more in one commission: only that table's digest differs."""
+    one = lake.silver[COMISIONES].agg(F.min("id_comision")).first()[0]
+    cent = F.when(F.col("id_comision") == one, F.col("vr_comision") + F.lit("0.01").cast("decimal(18,2)")).otherwise(F.col("vr_comision"))
+    changed = lake.silver[COMISIONES].withColumn("vr_comision", cent.cast("decimal(18,2)"))
+    before = audit.contents(lake.silver)
+    after = audit.contents({name: changed if name == COMISIONES else df for name, df in lake.silver.items()}).toDF("table_name", "rows_after", "digest_after")
+    return before.join(after, "table_name").select("table_name", "rows", "rows_after", (F.col("digest") == F.col("digest_after")).alias("resultado"))
+
+
 @query("publish_gold")
 def _(lake: Lake) -> DataFrame:
     root = lake.folder("gold")

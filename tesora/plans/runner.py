@@ -1,10 +1,10 @@
 """Runs that write: stage, audit, publish.
 
 Every table of a layer is written to a folder of its own attempt and audited
-there. Only when the whole layer has passed are the tables pointed at the new
-versions, one after another, and metrics are appended last, once for each run and
-table. A failed run leaves the previous snapshot published, also when it
-repeats the id of the run that published it.
+there. Only when the whole layer has passed is it published, all tables with one
+commit, and metrics are appended last, once for each run. A failed run leaves the
+previous snapshot published, also when it repeats the id of the run that
+published it; so does a run upon a snapshot that another run has replaced.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 from datetime import datetime, timezone
 from functools import reduce
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 from tesora.config import CLIENTES, COMISIONES, MOVIMIENTOS, OBLIGACIONES, PRODUCTOS, SUCURSALES, UNKNOWN_CHANNEL, LakeConfig, RunContext
 from tesora.operators import audit, rules
 from tesora.plans import gold, silver
-from tesora.sources import bronze, control, extract, sinks
+from tesora.sources import bronze, control, extract, sinks, snapshots
 
 SILVER_METRICS = ("run_id", "table_name", "bronze_rows", "silver_rows", "quarantined_rows", "processed_at_utc")
 GOLD_METRICS = ("run_id", "table_name", "table_type", "row_count", "processed_at_utc")
@@ -59,15 +60,17 @@ def run_bronze(
     STARTED is stored before anything is copied, once for each (run, table).
     A pair that the log holds as SUCCEEDED is not copied again, so repeating a
     run under its id does what is left. Each table lands in a folder of its own
-    attempt; then its outcome is logged, then its progress moves. A crash
-    between these steps means the same rows again with the next run, which
-    deduplication absorbs; it never means missing rows. A table that fails is
-    logged and leaves its progress where it was; the others go on. Only the
-    configuration (a row per table) and one log row per event pass through the
-    driver. ``log`` and ``errors`` of the result are this call's.
+    attempt; then its outcome is logged with the bound that it reached, and
+    that event is its progress: see :func:`control.progress`. A crash before it
+    means the same rows again with the next run, which deduplication absorbs;
+    it never means missing rows. A table that fails is logged and leaves its
+    progress where it was; the others go on. Events are numbered by claims, so
+    two runs at a time never share a number. Only the configuration (a row per
+    table) and one log row per event pass through the driver. ``log`` and
+    ``errors`` of the result are this call's.
     """
     if register:
-        sinks.ensure_namespaces(spark, cfg.root)
+        sinks.ensure_namespaces(spark, cfg.root, cfg.schema_prefix)
     empty = spark.createDataFrame([], control.LOG_SCHEMA)
 
     def stored_log() -> DataFrame:
@@ -76,21 +79,25 @@ def run_bronze(
     log = stored_log()
     mine = log.where(F.col("pipeline_run_id") == run.run_id)
     finished = {r["source_table"] for r in control.latest_state(mine).where(F.col("status") == control.SUCCEEDED).collect()}
-    seq = (log.agg(F.max("seq")).first()[0] or 0) + 1
+    seq = log.agg(F.max("seq")).first()[0] or 0
     added, failed = [], []
 
+    def next_seq() -> int:
+        nonlocal seq
+        seq = snapshots.claim(spark, f"{cfg.root}/ctl/_claims", seq + 1)
+        return seq
+
     def store(events: DataFrame) -> None:
         rows = empty.unionByName(events, allowMissingColumns=True)
         # Kept as local rows: what the result shows must not be read from a log that goes on growing.
         added.append(spark.createDataFrame(rows.collect(), control.LOG_SCHEMA))
-        sinks.append_rows(added[-1].coalesce(1), cfg.root, "ctl", "pipeline_run_log", empty.columns, register=register)
+        sinks.append_rows(added[-1].coalesce(1), cfg.root, "ctl", "pipeline_run_log", empty.columns, register, cfg.schema_prefix)
 
-    todo = [row for row in control.active_specs(config).collect() if row["source_table"] not in finished]
-    asked = [(run.run_id, row["source_table"], run.batch, seq + i, clock()) for i, row in enumerate(todo)]
+    known = control.progress(config, log)
+    todo = [row for row in control.active_specs(known).collect() if row["source_table"] not in finished]
+    asked = [(run.run_id, row["source_table"], run.batch, next_seq(), clock()) for row in todo]
     started = "pipeline_run_id string, source_table string, batch_id string, seq bigint, event_at_utc timestamp"
     store(control.start_runs(log, spark.createDataFrame(asked, started)))
-    seq += len(asked)
-    progress, versions = config, Versions(spark, cfg.root, run)
 
     for row in todo:
         table, begun = row["source_table"], clock()
@@ -112,29 +119,24 @@ def run_bronze(
             size = spark.read.format("binaryFile").load(path).agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
         except Exception as error:  # recorded for this table; the run goes on
             code = getattr(error, "code", type(error).__name__)
-            failure = (run.run_id, table, run.batch, seq, clock(), "land_bronze", code, str(error), repr(error))
+            failure = (run.run_id, table, run.batch, next_seq(), clock(), "land_bronze", code, str(error), repr(error))
             columns = f"{started}, activity_name string, error_code string, error_message string, error_details string"
             event, detail = control.fail_runs(spark.createDataFrame([failure], columns))
             store(event)
             failed.append(spark.createDataFrame(detail.collect(), detail.schema))
-            sinks.append_rows(failed[-1].coalesce(1), cfg.root, "ctl", "pipeline_error", [f.split()[0] for f in control.ERROR_SCHEMA.split(", ")], register=register)
-            seq += 1
+            sinks.append_rows(failed[-1].coalesce(1), cfg.root, "ctl", "pipeline_error", [f.split()[0] for f in control.ERROR_SCHEMA.split(", ")], register, cfg.schema_prefix)
             continue
         now = clock()
-        done = (run.run_id, table, run.batch, seq, now, read.get["rows"], copied, size, int((now - begun).total_seconds()), path, delta.bound)
+        done = (run.run_id, table, run.batch, next_seq(), now, read.get["rows"], copied, size, int((now - begun).total_seconds()), path, delta.bound)
         columns = f"{started}, rows_read bigint, rows_copied bigint, bytes_written bigint, duration_seconds int, output_path string, new_watermark bigint"
         completion = spark.createDataFrame([done], columns)
         control.assert_started(stored_log(), completion)
-        store(control.complete_runs(stored_log(), completion))
-        progress = versions.write(control.advance_progress(progress, completion, now), "ctl", "ingestion_config", f"{seq:020d}")
-        if register:
-            versions.publish()
-        seq += 1
-
-    if not versions.paths:  # nothing succeeded: the configuration is stored as it was given
-        progress = versions.write(config, "ctl", "ingestion_config", f"{seq:020d}")
-        if register:
-            versions.publish()
+        store(control.complete_runs(stored_log(), completion).withColumn("new_watermark", F.lit(delta.bound).cast("bigint")))
+
+    versions = Versions(spark, cfg, run, "control")
+    progress = versions.write(control.progress(config, stored_log()), "ctl", "ingestion_config")
+    if register:
+        versions.publish()
     none = spark.createDataFrame([], control.ERROR_SCHEMA)
     return BronzeResult(
         reduce(DataFrame.unionByName, added), reduce(DataFrame.unionByName, failed, none), progress
@@ -146,22 +148,32 @@ def landed(spark: SparkSession, cfg: LakeConfig) -> dict[str, DataFrame]:
 
 
 class Versions:
-    """Writes table versions of one run and reads them back."""
-
-    def __init__(self, spark: SparkSession, root: str, run: RunContext) -> None:
-        self.spark, self.root, self.run = spark, root, run
-        self.attempt = uuid.uuid4().hex
-        self.paths: dict[tuple[str, str], str] = {}
-
-    def write(self, df: DataFrame, schema: str, table: str, step: str = "") -> DataFrame:
-        path = sinks.write_version(df, self.root, schema, table, self.run.run_id, f"{self.attempt}{step}")
-        self.paths[schema, table] = path
-        return self.spark.read.parquet(path)
-
-    def publish(self) -> None:
-        for (schema, table), path in self.paths.items():
-            if schema != "staging":
-                sinks.publish_version(self.spark, schema, table, path)
+    """Writes table versions of one run, reads them back and publishes them together."""
+
+    def __init__(self, spark: SparkSession, cfg: LakeConfig, run: RunContext, layer: str, root: str | None = None) -> None:
+        self.spark, self.root, self.run, self.prefix = spark, root or cfg.root, run, cfg.schema_prefix
+        self.version = f"{run.run_id}-{uuid.uuid4().hex}"
+        self.layer = snapshots.Layer(spark, self.root, layer)
+        built_upon = self.layer.newest()
+        self.after = built_upon.seq if built_upon else 0
+        self.written: dict[str, tuple[str, DataFrame]] = {}
+
+    def write(self, df: DataFrame, schema: str, table: str) -> DataFrame:
+        """No attempt writes over another one: a run repeated under its id leaves what it published before as it is."""
+        path = snapshots.version_path(df, self.root, schema, table, quote(self.version, safe=""))
+        df.write.mode("errorifexists").parquet(path)
+        held = self.spark.read.schema(df.schema).parquet(path)
+        self.written[f"{schema}.{table}"] = (path, held)
+        return held
+
+    def publish(self) -> snapshots.Commit:
+        """One commit for all tables but staged ones, with the digest of each, if nobody has published since this run began."""
+        tables = {name: held for name, held in self.written.items() if not name.startswith("staging.")}
+        counted = audit.contents({name: df for name, (_, df) in tables.items()}).collect()  # a row for each table
+        entries = {r["table_name"]: (tables[r["table_name"]][0], r["rows"], r["digest"]) for r in counted}
+        commit = self.layer.commit(self.version, self.run.run_id, entries, self.after)
+        self.layer.views(commit, self.prefix)
+        return commit
 
 
 def run_silver(
@@ -178,7 +190,7 @@ def run_silver(
     quarantine and metrics then read that staged table instead of repeating
     its shuffles. Silver facts are laid out by client and date within files.
     """
-    versions = Versions(spark, root or cfg.root, run)
+    versions = Versions(spark, cfg, run, "silver", root)
     staged = {
         name: versions.write(silver.drop_internal(silver.stage_table(landed_tables, name, cfg)), "staging", name)
         for name in cfg.specs
@@ -203,9 +215,9 @@ def run_silver(
     audit.assert_domain(tables[MOVIMIENTOS], "cod_canal", (*cfg.allowed_channels, UNKNOWN_CHANNEL))
 
     if register:
-        sinks.ensure_namespaces(spark, versions.root)
+        sinks.ensure_namespaces(spark, versions.root, cfg.schema_prefix)
         versions.publish()
-        sinks.append_rows(metrics, versions.root, "quality", "silver_run_metrics", SILVER_METRICS, ("run_id", "table_name"))
+        snapshots.append_once(metrics, versions.root, "quality", "silver_run_metrics", SILVER_METRICS, run.run_id, prefix=cfg.schema_prefix)
     return LayerResult(tables, metrics)
 
 
@@ -219,7 +231,7 @@ def run_gold(
 ) -> LayerResult:
     """Silver to gold. Facts and dimensions are written once; marts, audits and
     reconciliations read the written versions."""
-    versions = Versions(spark, root or cfg.root, run)
+    versions = Versions(spark, cfg, run, "gold", root)
     stamp = F.lit(run.as_of).cast("timestamp")
 
     def write(df: DataFrame, name: str) -> DataFrame:
@@ -265,15 +277,16 @@ def run_gold(
     audit.assert_count(metrics, len(gold.KINDS), "gold run metrics")
 
     if register:
-        sinks.ensure_namespaces(spark, versions.root)
+        sinks.ensure_namespaces(spark, versions.root, cfg.schema_prefix)
         versions.publish()
-        sinks.append_rows(metrics, versions.root, "gold", "gold_run_metrics", GOLD_METRICS, ("run_id", "table_name"))
+        snapshots.append_once(metrics, versions.root, "gold", "gold_run_metrics", GOLD_METRICS, run.run_id, prefix=cfg.schema_prefix)
     return LayerResult(tables, metrics)
 
 
 def run_lake(spark: SparkSession, cfg: LakeConfig, run: RunContext) -> tuple[LayerResult, LayerResult]:
     """Landed files to published gold."""
     silver_run = run_silver(spark, landed(spark, cfg), cfg, run)
-    sinks.require_tables(spark, "silver", list(cfg.specs))
-    published = {name: spark.table(f"silver.{name}") for name in cfg.specs}
+    sinks.require_tables(spark, f"{cfg.schema_prefix}silver", list(cfg.specs))
+    snapshot = snapshots.Layer(spark, cfg.root, "silver").read()  # gold is built from one commit, whatever follows it
+    published = {name: snapshot[f"silver.{name}"] for name in cfg.specs}
     return silver_run, run_gold(spark, published, cfg, run)

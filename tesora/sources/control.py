@@ -27,7 +27,7 @@ CONFIG_SCHEMA = (
 LOG_SCHEMA = (
     "pipeline_run_id string, batch_id string, source_table string, seq bigint, status string, "
     "event_at_utc timestamp, rows_read bigint, rows_copied bigint, bytes_written bigint, "
-    "duration_seconds int, output_path string, error_message string"
+    "duration_seconds int, output_path string, error_message string, new_watermark bigint"
 )
 ERROR_SCHEMA = (
     "pipeline_run_id string, batch_id string, source_table string, activity_name string, "
@@ -136,6 +136,24 @@ def advance_progress(config: DataFrame, completions: DataFrame, as_of: datetime)
     ).select(*config.columns)
 
 
+def progress(config: DataFrame, log: DataFrame) -> DataFrame:
+    """Configuration with the progress that the log proves: the newest SUCCEEDED bound of each table, at its event's time.
+
+    Nothing else moves progress, so logging a success is one step, and a configuration that a caller has kept from
+    earlier cannot turn it back. What the configuration itself says holds only for tables without a logged success.
+    """
+    done = log.where((F.col("status") == SUCCEEDED) & F.col("new_watermark").isNotNull())
+    newest = done.groupBy("source_table").agg(
+        F.max_by("new_watermark", "seq").alias("new_watermark"), F.max("seq").alias("seq"), F.max_by("event_at_utc", "seq").alias("_at")
+    )
+    moved = advance_progress(config, newest, None)
+    return (
+        moved.join(newest.select("source_table", "_at"), "source_table", "left")
+        .withColumn("updated_at_utc", F.coalesce("updated_at_utc", "_at"))
+        .select(*config.columns)
+    )
+
+
 def fail_runs(failures: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(FAILED log events, error rows). Progress is not touched, so a repeated
     run extracts the same rows again."""

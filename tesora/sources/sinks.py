@@ -1,4 +1,4 @@
-"""Publishing: snapshots, exports with a manifest, relational loads."""
+"""Sinks: appended rows, exports with a manifest, relational loads. Published layers are in ``snapshots``."""
 
 from __future__ import annotations
 
@@ -25,10 +25,10 @@ class PublishError(RuntimeError):
     pass
 
 
-def ensure_namespaces(spark: SparkSession, root: str) -> None:
+def ensure_namespaces(spark: SparkSession, root: str, prefix: str = "") -> None:
     for name, comment in NAMESPACES.items():
         spark.sql(
-            f"CREATE DATABASE IF NOT EXISTS {name} COMMENT '{comment}' LOCATION '{root.rstrip('/')}/{name}'"
+            f"CREATE DATABASE IF NOT EXISTS {prefix}{name} COMMENT '{comment}' LOCATION '{root.rstrip('/')}/{name}'"
         )
 
 
@@ -38,30 +38,6 @@ def require_tables(spark: SparkSession, schema: str, names: Sequence[str]) -> No
         raise PublishError(f"missing {schema} tables: {', '.join(missing)}")
 
 
-def write_version(df: DataFrame, root: str, schema: str, table: str, run_id: str, attempt: str) -> str:
-    """Write a table version to a folder of its own; nothing reads it until it is published.
-
-    Every attempt has its own folder and none is ever written over: a run that is repeated under its id leaves
-    what it published before as it is.
-    """
-    path = f"{root.rstrip('/')}/{schema}/{table}/version={run_id}-{attempt}"
-    df.write.mode("errorifexists").parquet(path)
-    return path
-
-
-def publish_version(spark: SparkSession, schema: str, table: str, path: str) -> None:
-    """Point the table at a written version. Only metadata changes: readers see
-    the old or the new snapshot. A table whose columns changed is declared anew."""
-    name = f"{schema}.{table}"
-    if spark.catalog.tableExists(name):
-        if spark.table(name).schema == spark.read.parquet(path).schema:
-            spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
-            spark.catalog.refreshTable(name)
-            return
-        spark.sql(f"DROP TABLE {name}")
-    spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{path}'")
-
-
 def kept_rows(spark: SparkSession, root: str, schema: str, table: str, ddl: str) -> DataFrame:
     """Rows appended so far under a root, none where nothing was appended yet."""
     try:
@@ -72,19 +48,13 @@ def kept_rows(spark: SparkSession, root: str, schema: str, table: str, ddl: str)
         return spark.createDataFrame([], ddl)
 
 
-def append_rows(
-    df: DataFrame, root: str, schema: str, table: str, columns: Sequence[str], keys: Sequence[str] = (), register: bool = True
-) -> None:
-    """Append in a fixed column order, and make sure the table is known. Rows whose ``keys`` are there already are left out."""
+def append_rows(df: DataFrame, root: str, schema: str, table: str, columns: Sequence[str], register: bool = True, prefix: str = "") -> None:
+    """Append in a fixed column order, and make sure the table is known."""
     spark, path = df.sparkSession, f"{root.rstrip('/')}/{schema}/{table}"
-    rows = df.select(*columns)
-    if keys:
-        known = kept_rows(spark, root, schema, table, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema))
-        rows = rows.join(known.select(*keys).distinct(), list(keys), "left_anti").select(*columns)
-    rows.write.mode("append").parquet(path)
+    df.select(*columns).write.mode("append").parquet(path)
     if register:
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {schema}.{table} USING parquet LOCATION '{path}'")
-        spark.catalog.refreshTable(f"{schema}.{table}")
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {prefix}{schema}.{table} USING parquet LOCATION '{path}'")
+        spark.catalog.refreshTable(f"{prefix}{schema}.{table}")
 
 
 def export_tables(
