@@ -29,8 +29,8 @@ from pyspark.sql import functions as F
 from tesora.llm.common import in_parts, ship, stored, text_of
 
 BITS = 26
-WORDS_KEPT = 300_000  # that a task numbers before it starts anew
-PART = 1 << 22  # bytes of texts that a task counts at once
+WORDS_KEPT = 150_000  # that a task numbers before it starts anew
+PART = 3 << 20  # bytes of texts that a task counts at once
 SLICE = 1 << 20
 
 # Breaks become a byte that UTF-8 never holds, A-Z lower case.
