@@ -552,6 +552,7 @@ BODIES["publish_layers"] = " UNION ALL ".join(
     [content(f"silver.{name}", SILVERS[name], columns) for name, columns in SILVER_COLUMNS.items()]
     + [content(f"gold.{name}", GOLDS[name], columns) for name, columns in GOLD_COLUMNS.items()]
 )
+BODIES["bronze_compacted"] = BODIES["bronze_read"]
 BODIES["publish_metrics_once"] = BODIES["silver_run_metrics"]
 BODIES["audit_altered_contents"] = " UNION ALL ".join(
     f"SELECT '{name}' AS table_name, count(*) AS rows, count(*) AS rows_after, {str(name != 'tb_comisiones_log').lower()} AS resultado FROM {source}"

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator, Mapping
 from dataclasses import replace
-from datetime import datetime
+from datetime import date, datetime
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -250,6 +250,18 @@ def _(lake: Lake) -> DataFrame:
     )
 
 
+@query("bronze_compacted")
+def _(lake: Lake) -> DataFrame:
+    """The first delivery compacted, the second as it landed: the rows of both, with the names and positions they landed with."""
+    root, spec = lake.folder("compact"), CFG.specs[MOVIMIENTOS]
+    two_batches(lake, MOVIMIENTOS, root)
+    bronze.compact(lake.spark, root, spec, date(2024, 2, 2))
+    held = bronze.read_compacted(lake.spark, root, spec)
+    return held.groupBy(F.col("_batch_id").alias("lote"), F.col("_ingestion_timestamp_utc").cast("date").alias("dia")).agg(
+        F.count("*").alias("filas"), F.count_distinct("_source_file", "_row_index").alias("posiciones")
+    )
+
+
 @query("ingest_retry")
 def _(lake: Lake) -> DataFrame:
     """A run in which one source is down, and its repetition under the same id: all rows, one final state for each table."""
