@@ -118,7 +118,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_norm_buckets": NEAREST, "op12_toivonen_phrases": PHRASES, "op13_turn_repair": REPAIRED}
+    return {"op7_minhash_components": COMPONENTS, "op9_fm_index": REPEATS, "op10_norm_buckets": NEAREST, "op12_toivonen_phrases": PHRASES, "op13_turn_repair": REPAIRED}
 
 
 NEAREST = """
@@ -234,3 +234,46 @@ SELECT conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce
        coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, cost, audit, sha256(substr(lines, 2)) AS repaired_sha256
 FROM ended
 """
+
+COMPONENTS = """
+WITH RECURSIVE split AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\\x20\\x09-\\x0D]+') AS w
+    FROM documents
+), shingles AS (
+    SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) < 2 THEN w ELSE [w[i] || ' ' || w[i + 1] FOR i IN range(1, len(w))] END) AS g FROM split
+), sizes AS (
+    SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), shared AS (
+    SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS n FROM shingles a JOIN shingles b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL
+), link AS (
+    SELECT x, y FROM shared s JOIN sizes a ON a.doc_id = x JOIN sizes b ON b.doc_id = y WHERE 100 * s.n >= 80 * (a.n + b.n - s.n)
+), both_ways AS (
+    SELECT x, y FROM link UNION ALL SELECT y, x FROM link
+), reached AS (
+    SELECT doc_id, doc_id AS other FROM documents
+    UNION
+    SELECT r.doc_id, b.y FROM reached r JOIN both_ways b ON b.x = r.other
+)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id) LEFT JOIN sizes USING (doc_id)
+"""
+
+REPEATS = """
+WITH split AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+), windows AS (
+    SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM split)
+), begun AS (
+    SELECT g, min(doc_id) AS first_id FROM windows GROUP BY g
+), covered AS (
+    SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS i FROM windows JOIN begun USING (g) WHERE first_id < doc_id
+), kept AS (
+    SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY i) AS line
+    FROM (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM split) p
+    WHERE NOT EXISTS (SELECT 1 FROM covered c WHERE c.doc_id = p.doc_id AND c.i = p.i)
+    GROUP BY doc_id
+)
+SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(line, '')) AS kept_sha256
+FROM split LEFT JOIN kept USING (doc_id)
+"""
