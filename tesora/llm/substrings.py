@@ -32,7 +32,7 @@ from tesora.llm.common import ship, stored
 
 WINDOW = 13
 GRAM = 6  # long enough that grams of common words seldom meet by chance
-BITS = 26  # of the bitmap of repeated minimisers
+BITS = 28  # of the bitmap of repeated minimisers
 HOT_BITS = 22
 HOT = 1000  # texts with one minimiser from which on its windows are split
 SHARD_WORDS = 200_000
