@@ -9,7 +9,7 @@
 4. Where members of one bucket are still in several components, they are compared
    in blocks of a bounded number of members: signatures give a pair's likely similarity, a pair is
    looked at in the first band it shares only, and what may reach the threshold is verified on full
-   sets. A task emits confirmed links, not pairs. Components are joined again.
+   sets. What is written are the members of such pairs, then confirmed links, never pairs. Components are joined again.
 
 A pair at the threshold 0.8 misses all buckets with probability 3e-6, and the
 signature check of step 4 with one of 5e-6; every link is confirmed on full sets.
@@ -17,7 +17,7 @@ signature check of step 4 with one of 5e-6; every link is confirmed on full sets
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tesora.llm.common import ship, stored
+from tesora.llm.common import in_parts, ship, stored
 
 BANDS, ROWS = 32, 5
 CHUNK = 4096  # members of a bucket in a block
@@ -76,6 +76,10 @@ def _texts(batch: pa.RecordBatch) -> list[bytes]:
     return [text or b"" for text in batch.column("text").cast(pa.binary()).to_pylist()]
 
 
+def _key(hashes: np.ndarray) -> bytes | None:
+    return xxhash.xxh3_128_digest(hashes.tobytes()) if len(hashes) else None
+
+
 def _narrow(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
@@ -84,12 +88,12 @@ def signatures(docs: DataFrame, width: int) -> DataFrame:
     """(doc_id, n, key, sig) of every row; key, a 128-bit hash of the set, and sig are null for an empty set."""
 
     def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in source:
+        for batch in in_parts(source):
             n, keys, sigs = [], [], []
             for text in _texts(batch):
                 hashes = shingles(text, width)
                 n.append(len(hashes))
-                keys.append(xxhash.xxh3_128_digest(hashes.tobytes()) if len(hashes) else None)
+                keys.append(_key(hashes))
                 sigs.append(signature(hashes).tobytes() if len(hashes) else None)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(keys, pa.binary()), pa.array(sigs, pa.binary())], ["doc_id", "n", "key", "sig"]
@@ -99,21 +103,22 @@ def signatures(docs: DataFrame, width: int) -> DataFrame:
 
 
 def sets_of(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
-    """(doc_id, set) of the named documents. Up to FEW names are broadcast, so that no text is moved; more are joined by a shuffle."""
+    """(doc_id, key, set) of every row of the named documents. Up to FEW names are broadcast, so that no text is moved; more are joined by a shuffle."""
     named = ids.select("doc_id").distinct()
     named = F.broadcast(named) if ids.count() <= FEW else named
 
     def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in source:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
+        for some in in_parts(source):
+            for at in range(0, some.num_rows, 512):
+                part = some.slice(at, 512)
                 found = [shingles(text, width).view(np.int64) for text in _texts(part)]
                 ends = np.cumsum([0, *map(len, found)]).astype(np.int32)
                 flat = np.concatenate(found) if found else np.zeros(0, np.int64)
                 sets = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), sets], ["doc_id", "set"])
+                keys = pa.array([_key(x) for x in found], pa.binary())
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), keys, sets], ["doc_id", "key", "set"])
 
-    return _narrow(docs).join(named, "doc_id", "left_semi").mapInArrow(batches, "doc_id long, set array<long>")
+    return _narrow(docs).join(named, "doc_id", "left_semi").mapInArrow(batches, "doc_id long, key binary, set array<long>")
 
 
 def _alike(a: Column, b: Column, percent: int) -> Column:
@@ -171,63 +176,68 @@ def _blocks(members: DataFrame, reps: DataFrame, labels: DataFrame, sets: DataFr
         .withColumn("mine", mine)
         .select("band", "bucket", "doc_id", "component", "mine", other)
         .select("band", "bucket", "doc_id", "component", "mine", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"))
-        .join(reps.select("doc_id", "sig"), "doc_id")
+        .join(reps.select("doc_id", "key", "sig"), "doc_id")
     )
     share = percent / 100
     least = BANDS * ROWS * (share - 4.5 * np.sqrt(share * (1 - share) / (BANDS * ROWS)))
 
-    def likely(table: pa.Table) -> pa.Table:
-        band, bucket, i, j = (table.column(c)[0].as_py() for c in ("band", "bucket", "i", "j"))
-        ids, comps, mine = (table.column(c).to_numpy() for c in ("doc_id", "component", "mine"))
+    def block(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, Callable[[int], np.ndarray]]:
+        """Ids, components (to be changed as links are found), the rows to compare, and the rows whose signatures are near a row's."""
+        band, i, j = (table.column(c)[0].as_py() for c in ("band", "i", "j"))
+        ids, mine = (table.column(c).to_numpy() for c in ("doc_id", "mine"))
+        comps = table.column("component").to_numpy().copy()
         sigs = np.frombuffer(b"".join(table.column("sig").to_pylist()), "<u4").reshape(len(ids), BANDS * ROWS)
-        rows = range(len(ids)) if i == j else np.flatnonzero(mine == i)
-        partners: dict[int, list[int]] = {}
-        for a in rows:
-            right = (comps != comps[a]) & ((ids > ids[a]) if i == j else (mine == j))
-            right = np.flatnonzero(right)
-            if not len(right):
-                continue
+
+        def near(a: int) -> np.ndarray:
+            right = np.flatnonzero((comps != comps[a]) & ((ids > ids[a]) if i == j else (mine == j)))
             same = sigs[right] == sigs[a]
             right, same = (x[same.sum(axis=1) >= least] for x in (right, same))
             first = same.reshape(len(right), BANDS, ROWS).all(axis=2).argmax(axis=1)  # they share this bucket's band at least
-            found = ids[right[first == band]].tolist()
-            if found:
-                partners[int(ids[a])] = found
-        named = sorted({*partners, *(x for found in partners.values() for x in found)})
-        k = len(named)
-        return pa.table(
-            [pa.array([band] * k, pa.int32()), pa.array([bucket] * k, pa.int64()), pa.array([i] * k, pa.int32()), pa.array([j] * k, pa.int32()),
-             pa.array(named, pa.int64()), pa.array([partners.get(x, []) for x in named], pa.list_(pa.int64()))],
-            names=["band", "bucket", "i", "j", "doc_id", "partners"],
-        )
+            return right[first == band]
+
+        return ids, comps, np.arange(len(ids)) if i == j else np.flatnonzero(mine == i), near
+
+    def likely(table: pa.Table) -> pa.Table:
+        ids, _, rows, near = block(table)
+        named = np.zeros(len(ids), bool)
+        for a in rows.tolist():
+            partners = near(a)
+            if len(partners):
+                named[a] = named[partners] = True
+        return table.filter(pa.array(named))
 
     def confirm(table: pa.Table) -> pa.Table:
+        keys = table.column("key").to_pylist()
+        once = list(dict(zip(zip(table.column("doc_id").to_pylist(), keys), range(len(keys)))).values())  # repeated rows have one set
+        table = table.take(pa.array(once))
         lists = table.column("set").combine_chunks()
         flat, ends = lists.values.to_numpy(), lists.offsets.to_numpy()
-        ids = table.column("doc_id").to_pylist()
-        held = {name: flat[ends[x] : ends[x + 1]] for x, name in enumerate(ids)}
-        root = {name: name for name in ids}
-
-        def top(x: int) -> int:
-            while root[x] != x:
-                root[x] = x = root[root[x]]
-            return x
-
+        held = lambda x: flat[ends[x] : ends[x + 1]]
+        ids, comps, rows, near = block(table)
         links = []
-        for a, partners in zip(ids, table.column("partners").to_pylist()):
-            for b in partners:
-                if top(a) == top(b):
+        for a in rows.tolist():
+            for b in near(a).tolist():
+                if comps[a] == comps[b]:
                     continue  # linked already through others of the block
-                both = len(np.intersect1d(held[a], held[b], assume_unique=True))
-                if 100 * both >= percent * (len(held[a]) + len(held[b]) - both):
-                    root[top(a)] = top(b)
-                    links.append((a, b))
+                both = len(np.intersect1d(held(a), held(b), assume_unique=True))
+                if 100 * both >= percent * (len(held(a)) + len(held(b)) - both):
+                    links.append((int(ids[a]), int(ids[b])))
+                    comps[comps == comps[b]] = comps[a]
         return pa.table([pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], names=["u", "v"])
 
     where = ["band", "bucket", "i", "j"]
-    pairs = dealt.groupBy(*where).applyInArrow(likely, "band int, bucket long, i int, j int, doc_id long, partners array<long>")
-    pairs = stored(pairs, "likely")
-    return pairs.join(sets, "doc_id").groupBy(*where).applyInArrow(confirm, "u long, v long")
+    # What is stored are members with their signatures, not pairs: these are found again where the sets are.
+    named = stored(dealt.groupBy(*where).applyInArrow(likely, dealt.schema), "likely")
+    return named.join(sets, ["doc_id", "key"]).groupBy(*where).applyInArrow(confirm, "u long, v long")
+
+
+def _own_links(signed: DataFrame, reps: DataFrame) -> DataFrame:
+    """Links (u, v) between the classes of documents that have several texts."""
+    taking_part = signed.select("doc_id", "key").filter("key IS NOT NULL AND doc_id IS NOT NULL")
+    several = taking_part.groupBy("doc_id").agg(F.min("key").alias("a"), F.max("key").alias("b")).filter("a < b")
+    several = stored(several.select("doc_id"), "several")
+    names = taking_part.join(several, "doc_id").join(reps.select("key", F.col("doc_id").alias("u")), "key").select("doc_id", "u").distinct()
+    return names.join(names.groupBy("doc_id").agg(F.min("u").alias("v")), "doc_id").filter("u <> v").select("u", "v")
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
@@ -252,6 +262,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     pairs = members.filter("doc_id <> hub").select("doc_id", "hub").distinct()
     near = pairs.join(sets, "doc_id").join(sets.select(F.col("doc_id").alias("hub"), F.col("set").alias("hub_set")), "hub")
     links = stored(near.filter(_alike(F.col("set"), F.col("hub_set"), percent)).select(F.col("doc_id").alias("u"), F.col("hub").alias("v")), "links")
+    links = links.unionByName(_own_links(signed, reps))
     labels = components(links)
     more = stored(_blocks(members, reps, labels, sets, percent), "more")
     if not more.isEmpty():

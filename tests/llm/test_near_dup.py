@@ -58,6 +58,15 @@ def test_components_equal_brute_force(spark, monkeypatch, width, chunk):
     assert near_dup.near_duplicates(df.limit(0), width).count() == 0
 
 
+def test_two_texts_of_one_doc_id_keep_the_links_of_both(spark, monkeypatch):
+    monkeypatch.setattr(near_dup, "CHUNK", 16)
+    rng = random.Random(9)
+    rows = family(rng, 60)
+    rows += [(i, " ".join(f"z{i % 5}_{k}" if k >= 3 * (i % 7) % 20 else f"y{i}_{k}" for k in range(60))) for i in range(0, 60, 3)] + rows[:5]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(map(tuple, near_dup.near_duplicates(df, 2, 80).collect()), key=str) == brute(rows, 2, 80)
+
+
 def test_the_query_equals_brute_force(spark):
     rows = [(r.doc_id, r.text) for r in queries.table(spark, DATA, "documents").collect()]
     assert sorted(map(tuple, queries.op7_minhash_components(spark, DATA).collect()), key=str) == brute(rows, 2, 80)
