@@ -98,3 +98,28 @@ def test_hot_copies_are_spread(spark):
 def test_hash_added_once(spark):
     df = cleanse.add_record_hash(spark.createDataFrame([(1, "a")], "k int, v string"))
     assert df.where(F.length("_record_hash") == 64).count() == 1
+
+
+def test_a_repeated_key_is_looked_up_under_the_salts_of_its_rows_alone(spark):
+    """Each of 2 000 keys has two copies: at most two lookup rows for a key, where there were eight."""
+    data = spark.range(4_000).select((F.col("id") % 2_000).cast("int").alias("k"), F.lit(1).alias("_at"), F.lit("f").alias("_file"), F.col("id").alias("_pos"))
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    previous = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        tagged = cleanse.tag_latest(data, "k", ORDER)
+        plan = tagged._jdf.queryExecution().executedPlan()
+        tagged.collect()
+        nodes, generated = [plan], []
+        while nodes:
+            node = nodes.pop()
+            if node.nodeName() == "Generate":
+                generated.append(node.metrics().apply("numOutputRows").value())
+            nodes += [node.children().apply(i) for i in range(node.children().size())]
+            nodes += [node.child()] if node.nodeName().startswith("WholeStageCodegen") else []
+    finally:
+        for name, value in previous.items():
+            spark.conf.set(name, value) if value is not None else spark.conf.unset(name)
+    assert tagged.where("_is_latest").count() == 2_000
+    assert generated and max(generated) <= 4_000
