@@ -103,3 +103,13 @@ def test_superseded_client_version_is_replaced(spark, lake):
     assert result.tables[CLIENTES].where(F.col("id_cli") == ident).first()["estado_cli"] == "CERRADO"
     metrics = {r["table_name"]: r for r in result.metrics.collect()}[CLIENTES]
     assert metrics["quarantined_rows"] == 1 and metrics["bronze_rows"] == metrics["silver_rows"] + 1
+
+
+def test_record_hashes_are_written_in_half_their_length(spark, cfg, run):
+    """A hash has 64 letters of 16 kinds: 32 bytes of content. Written versions must not spend 64 on it."""
+    hashes = spark.range(20_000).select(F.sha2(F.col("id").cast("string"), 256).alias("_record_hash"))
+    versions = runner.Versions(spark, cfg, run, "silver")
+    held = versions.write(hashes, "silver", "hashes")
+    size = spark.read.format("binaryFile").load(versions.written["silver.hashes"][0]).where("path LIKE '%.parquet'").agg(F.sum("length")).first()[0]
+    assert held.exceptAll(hashes).isEmpty() and held.count() == 20_000
+    assert size < 20_000 * 64 * 0.7
