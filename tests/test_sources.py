@@ -298,3 +298,10 @@ def test_report_names_failures(spark):
     checks = spark.createDataFrame([("b", False), ("a", False), ("c", True)], "control string, aprobado boolean")
     assert rows(quality.dq_report([checks])) == [(1, 2, "a|b", "FAILED")]
     assert rows(quality.dq_report([checks.where("aprobado")])) == [(1, 0, "", "PASSED")]
+
+
+def test_both_formats_of_an_export_come_from_one_computation(spark, tmp_path):
+    once = spark.range(200).repartition(3).select("id", F.uuid().alias("v"))
+    sinks.export_tables({"t": once}, str(tmp_path), rows_per_file=50)
+    csv = spark.read.option("header", True).csv(f"{tmp_path}/csv/t")
+    assert rows(csv, "id", "v") == rows(spark.read.parquet(f"{tmp_path}/parquet/t").select(F.col("id").cast("string"), "v"))
