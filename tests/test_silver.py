@@ -168,3 +168,18 @@ def test_filters_and_columns_reach_the_scan(spark):
     plan = lake.silver[PRODUCTOS].select("cod_prod")._jdf.queryExecution().executedPlan().toString()
     scan = next(line for line in plan.splitlines() if "FileScan" in line or "Scan parquet" in line)
     assert "p_retailprice" not in scan
+
+
+def test_outcomes_alone_shuffle_neither_rule_columns_nor_reference_checks(spark):
+    """A reader of outcomes carries what the rules said; the reference checks add no shuffle at all."""
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        staged = Lake(spark, SMOKE).staged[OBLIGACIONES]
+        plan = staged.select("_quality_rules", "_accepted")._jdf.queryExecution().optimizedPlan().toString()
+        held = staged.select("_quality_rules", "_accepted")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert "sdo_capital" not in "".join(plan.split("Join LeftOuter")[:3])  # down to the copies' join
+    # Obligations' own join, once for rows and once for keys, the copies, and the two joins that clients are read from.
+    assert held.count("SortMergeJoin") == 5

@@ -4,7 +4,8 @@ import re
 
 from pyspark.sql import functions as F
 
-from tesora.operators.skew import salted_lookup
+from tesora.operators import skew
+from tesora.operators.skew import key_words, mark_known, salted_lookup
 
 # Small thresholds, so that a small table shows what a large one would do.
 SKEW_CONF = {
@@ -71,3 +72,24 @@ def test_a_lookup_that_fits_only_before_its_repetition_is_merged(spark):
         assert joined.count() == left.join(lookup, "k", "left_semi").count()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+def test_keys_as_words_know_the_same_rows_and_shuffle_no_fact(spark, monkeypatch):
+    """Numbers below zero, padded, long, bare and foreign codes: a word never stands for a key that the set lacks."""
+    codes = ["P1", "P01", "P001", "P10", "P", "", "1", "01", "é7", "P-3", "9" * 18, "9" * 19, "9" * 20, "P" + "0" * 18, "P" + "0" * 19, "P63", "P64", None]
+    texts = spark.createDataFrame([(i, c) for i, c in enumerate(codes * 2)], "id long, k string")
+    numbers = spark.createDataFrame([(i, n) for i, n in enumerate([-65, -64, -63, -1, 0, 1, 63, 64, 2**63 - 1, -(2**63), None] * 2)], "id long, k long")
+    for left in (texts, numbers):
+        for part in (0, 1, 2):
+            held = left.where(F.col("k").isNotNull() & (F.col("id") % 3 == part)).select("k").distinct()
+            words = key_words(held, "k")
+            marked = mark_known(left, held, words, "k", "known", ["id"], 8)
+            plain = left.join(held.withColumn("known", F.lit(True)), "k", "left").select("id", "k", "known")
+            assert marked.columns == ["id", "k", "known"]
+            assert marked.exceptAll(plain).isEmpty() and plain.exceptAll(marked).isEmpty()
+    dense = spark.range(64_000).select(F.concat(F.lit("P"), "id").alias("k"))
+    assert key_words(dense, "k").count() == 1000
+    monkeypatch.setattr(skew, "MAX_WORDS", 999)
+    assert key_words(dense, "k") is None
+    shuffled = mark_known(texts, dense, None, "k", "known", ["id"], 8)
+    assert shuffled.where("known").count() == 2 * 4  # P1, P10, P63, P64
