@@ -99,6 +99,15 @@ def test_metrics_append_once_also_at_the_same_time(spark, tmp_path):
     assert snapshots.appended(spark, root, "quality", "m", "run_id string, n long").count() == 4
 
 
+def test_a_second_append_is_not_computed(spark, tmp_path):
+    root, columns = str(tmp_path), ("run_id", "n")
+    first = spark.createDataFrame([("R1", 1)], "run_id string, n long")
+    assert snapshots.append_once(first, root, "quality", "m", columns, "R1", register=False)
+    failing = first.withColumn("n", F.raise_error(F.lit("computed again")).cast("long"))
+    assert not snapshots.append_once(failing, root, "quality", "m", columns, "R1", register=False)
+    assert snapshots.appended(spark, root, "quality", "m", "run_id string, n long").collect()[0].n == 1
+
+
 def test_claims_are_never_shared(spark, tmp_path):
     with ThreadPoolExecutor(4) as pool:
         found = list(pool.map(lambda _: snapshots.claim(spark, str(tmp_path), 1), range(12)))
