@@ -16,9 +16,11 @@ endian) and then its zstandard frame.
 
 from __future__ import annotations
 
+import gc
 import struct
 import unicodedata
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tesora.llm.common import shared_dir, ship
-from tesora.llm.token_counts import pre_tokens
+from tesora.llm.token_counts import byte_symbols, pre_tokens
 
 BLOCK = 65_536
 CHUNK = 4 * BLOCK
@@ -83,6 +85,8 @@ def unpack(data: bytes, begins: list[int], n: int, planes: str = "bytes", lo: in
     return ids[lo - wanted[0] * block : hi - wanted[0] * block]
 
 
+_SYMBOLS = dict(enumerate(byte_symbols()))
+_PROBES = ("tokens", "straße", "añoœ", "жизнь")
 _MARKS = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum())
 
 
@@ -90,8 +94,9 @@ class Ids(dict):
     """Ids of words (bytes) as little-endian bytes, by the tokenizers library.
 
     The vocabulary's normaliser and pre-tokens never cross ASCII white space, so a text's ids are those of its words, one
-    after another. Pre-tokens not met before are given to the library many at a time; a final symbol's end mark tells
-    where one ends. Where that cannot be told, the library gets each word by itself.
+    after another. Pre-tokens not met before are given to the library: runs of letters, which are one pre-token each, to its
+    model alone, others many at a time, where a final symbol's end mark tells where one ends. Where that cannot be told, the
+    library gets each word by itself.
     """
 
     def __init__(self, path: str):
@@ -105,6 +110,13 @@ class Ids(dict):
         # Only proposes where pre-tokens end; the library's end marks confirm it.
         self.pattern = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\p{White_Space}\p{L}\p{N}]+")
         self.pieces: dict[str, bytes] = {}
+        self.model, self.packed = self.library.model, [struct.pack("<I", i) for i in range(size)]
+        self.by_model = all(self.letters(text) == self.alone(text) for text in _PROBES)
+
+    def letters(self, text: str) -> bytes:
+        """Ids of one pre-token of letters, without normaliser and pre-tokeniser; the model reads bytes as symbols."""
+        symbols = text if text.isascii() else text.encode().decode("latin-1").translate(_SYMBOLS)
+        return b"".join([self.packed[token.id] for token in self.model.tokenize(symbols)])
 
     def alone(self, text: str) -> bytes:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -124,9 +136,15 @@ class Ids(dict):
                 cut[word] = [letters, text[len(letters) :]] if letters.isalpha() else pre_tokens(self.pattern, text)
         fresh = {piece for pieces in cut.values() for piece in pieces if piece not in self.pieces}
         fresh.update(piece for piece in plain.values() if piece not in self.pieces)
-        fresh = list(fresh)
-        for i in range(0, len(fresh), 4096):
-            self.learn_pieces(fresh[i : i + 4096])
+        others = []
+        for piece in fresh:
+            # Older letters are letters in every Unicode version.
+            if self.by_model and piece.isalpha() and (piece.isascii() or max(piece) < "\u0500"):
+                self.pieces[piece] = self.letters(piece)
+            else:
+                others.append(piece)
+        for i in range(0, len(others), 4096):
+            self.learn_pieces(others[i : i + 4096])
         for word, piece in plain.items():
             self[word] = self.pieces[piece]
         for word, pieces in cut.items():
@@ -145,13 +163,16 @@ class Ids(dict):
 
     def texts(self, texts: list[bytes]) -> list[bytes]:
         split = [text.split() for text in texts]
-        fresh = {word for words in split for word in words if word not in self}
+        found = [list(map(self.get, words)) for words in split]
+        fresh = {word for words, ids in zip(split, found) for word, known in zip(words, ids) if known is None}
         if len(self) + len(fresh) > CACHE or len(self.pieces) > CACHE:
             self.clear()
             self.pieces.clear()
-            fresh = {word for words in split for word in words}
         self.learn(list(fresh))
-        return [b"".join(map(self.__getitem__, words)) for words in split]
+        return [
+            b"".join([self[word] if known is None else known for word, known in zip(words, ids)] if None in ids else ids)
+            for words, ids in zip(split, found)
+        ]
 
 
 _kept: dict[str, Ids] = {}
@@ -163,6 +184,18 @@ def ids_of(path: str) -> Ids:
     return _kept[path]
 
 
+@contextmanager
+def uncollected() -> Iterator[None]:
+    """Words and ids form no cycles; the collector would walk the kept ones over and over."""
+    was = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if was:
+            gc.enable()
+
+
 def write_ids(docs: DataFrame, path: str, vocabulary: str, end_id: int = 1, planes: str = "bytes", shards: int | None = None) -> None:
     """Encodes every text, appends ``end_id``, and writes chunks in ascending doc_id order (nulls first, ties by text).
 
@@ -196,7 +229,9 @@ def write_ids(docs: DataFrame, path: str, vocabulary: str, end_id: int = 1, plan
                 part = batch.slice(at, 500)
                 texts = [text or b"" for text in part.column("text").cast(pa.binary()).to_pylist()]
                 shard = part.column("shard")[0].as_py() if shard < 0 else shard
-                for name, ids in zip(part.column("doc_id").to_pylist(), encoder.texts(texts)):
+                with uncollected():
+                    encoded = encoder.texts(texts)
+                for name, ids in zip(part.column("doc_id").to_pylist(), encoded):
                     held.append(ids + end)
                     names.append(name)
                     size += len(ids) // 4 + 1

@@ -35,6 +35,23 @@ def test_both_equal_the_library_on_any_text(text):
     assert bitplane.ids_of(PATH).texts([text.encode()])[0] == np.array(expected, "<u4").tobytes()
 
 
+def test_runs_of_letters_go_to_the_model_alone(monkeypatch):
+    encoder = bitplane.Ids(PATH)
+    texts = ["Straße naïve ÑANDÚ œuvre жизнь ΛΌΓΟΣ", "words, \"Quoted\" (naïve) end."]
+    joined = []
+    monkeypatch.setattr(encoder, "learn_pieces", lambda pieces, learn=encoder.learn_pieces: (joined.extend(pieces), learn(pieces)))
+    assert [np.frombuffer(x, "<u4").tolist() for x in encoder.texts([text.encode() for text in texts])] == [ids(text) for text in texts]
+    assert encoder.by_model and not [piece for piece in joined if piece.isalpha()]
+
+
+def test_a_full_store_loses_no_words(monkeypatch):
+    monkeypatch.setattr(bitplane, "CACHE", 6)
+    encoder, texts = bitplane.Ids(PATH), ["one two three four", "two five! six seven one", "eight one nine two", "", "one"]
+    for _ in range(2):
+        for part in (texts[:2], texts[1:]):
+            assert [np.frombuffer(x, "<u4").tolist() for x in encoder.texts([text.encode() for text in part])] == [ids(text) for text in part]
+
+
 @given(st.lists(st.integers(0, 2**32 - 1), max_size=300), st.sampled_from(["bytes", "bits"]), st.integers(1, 64), st.data())
 @settings(max_examples=150, deadline=None)
 def test_planes_round_trip_whole_and_in_part(values, planes, block, data):
