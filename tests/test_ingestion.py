@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import replace
 from datetime import datetime
+from threading import Barrier
 
 from conftest import SMOKE, rows
 from pyspark.sql import functions as F
@@ -123,3 +124,21 @@ def test_full_extract_reads_the_columns_of_the_table(spark, tmp_path):
     lake.source(PRODUCTOS).withColumn("extra", F.lit(1)).write.parquet(path)
     reader = spark.read.format("parquet").option("path", path)
     assert extract.full_extract(reader, SPECS[PRODUCTOS]).columns == list(SPECS[PRODUCTOS].columns)
+
+
+def test_tables_land_at_the_same_time(spark, tmp_path):
+    cfg = replace(CFG, root=str(tmp_path), specs=dict(SPECS))
+    lake, together = Lake(spark, SMOKE), Barrier(2, timeout=60)
+
+    def slow(name):
+        together.wait()  # breaks if the other table is not asked for meanwhile
+        return lake.source(name).select(*SPECS[name].columns)
+
+    config = initial_config(spark).where(F.col("source_table").isin(CLIENTES.upper(), PRODUCTOS.upper()))
+    feeds = {name: feed(spark, SPECS[name]) for name in (CLIENTES, PRODUCTOS)}
+    run = RunContext("L1", datetime(2024, 3, 1))
+    result = runner.run_bronze(spark, {name: (lambda name=name: slow(name)) for name in feeds}, config, cfg, run, feeds, register=False)
+    assert result.errors.isEmpty() and copied(result).keys() == {CLIENTES, PRODUCTOS}
+    outcomes = result.log.where("status = 'SUCCEEDED'").orderBy("seq").select("source_table").collect()
+    started = result.log.where("status = 'STARTED'").orderBy("seq").select("source_table").collect()
+    assert outcomes == started
