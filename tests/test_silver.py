@@ -1,16 +1,16 @@
 from __future__ import annotations
 
 import json
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 from decimal import Decimal
 
 import pytest
 from conftest import SMOKE, rows
 
 from tesora.config import CLIENTES, COMISIONES, MOVIMIENTOS, OBLIGACIONES, PRODUCTOS, SUCURSALES, SPECS
-from tesora.operators import rules
+from tesora.operators import rules, skew
 from tesora.plans import silver
-from tesora.plans.catalogue import CFG, RUN, Lake
+from tesora.plans.catalogue import CFG, FACT_DATES, RUN, Lake, all_queries
 
 D = Decimal
 AT = datetime(2024, 3, 1)
@@ -183,3 +183,35 @@ def test_outcomes_alone_shuffle_neither_rule_columns_nor_reference_checks(spark)
     assert "sdo_capital" not in "".join(plan.split("Join LeftOuter")[:3])  # down to the copies' join
     # Obligations' own join, once for rows and once for keys, the copies, and the two joins that clients are read from.
     assert held.count("SortMergeJoin") == 5
+
+
+@pytest.mark.parametrize("words", [2**18, 0])
+def test_narrow_facts_have_the_rows_of_the_whole_ones(spark, bronze, cfg, words, monkeypatch):
+    """Also where the newest copy has no client: it supersedes an older one that has."""
+    monkeypatch.setattr(skew, "MAX_WORDS", words)
+    older, newer = frame(spark, OBLIGACIONES, [obl(1), obl(2)]), frame(spark, OBLIGACIONES, [obl(1, id_cli=9), obl(3, cod_prod=None)], AT + timedelta(days=1))
+    mine = {**bronze, OBLIGACIONES: older.unionByName(newer)}
+    refs = silver.references(mine, cfg)
+    assert refs.sent == (words > 0)
+    assert rows(silver.narrow_fact(mine, OBLIGACIONES, ("fec_venc", "id_oblig"), cfg, refs), "id_oblig") == [(2,)]
+    lake = Lake(spark, SMOKE)
+    for table, columns in FACT_DATES.items():
+        for names in (columns, ("id_cli", "cod_prod", *columns)):
+            narrow, whole = silver.narrow_fact(lake.bronze, table, names, CFG, lake.refs), lake.silver[table].select(*names)
+            assert narrow.exceptAll(whole).isEmpty() and whole.exceptAll(narrow).isEmpty()
+
+
+def test_dates_alone_shuffle_no_references(spark):
+    lake = Lake(spark, SMOKE)
+    plan = silver.narrow_fact(lake.bronze, OBLIGACIONES, FACT_DATES[OBLIGACIONES], CFG, lake.refs)._jdf.queryExecution().optimizedPlan().toString()
+    above = plan.split("WindowGroupLimit")[0] if "WindowGroupLimit" in plan else plan.split("Window [")[0] + plan.split("Window [")[1].split("\n")[1]
+    assert "cod_prod" not in above and "id_cli" not in above and "_known" in above
+
+
+@pytest.mark.parametrize("name", ["report_gold_counts"])
+def test_gold_reports_rank_the_copies_of_a_fact_once(spark, name):
+    """What is left to do when the report is planned reads written facts, and no source of theirs."""
+    report = all_queries()[name](spark, SMOKE)
+    plan = report._jdf.queryExecution().optimizedPlan().toString()
+    assert "l_orderkey" not in plan and "event_id" not in plan and "o_orderkey" not in plan
+    assert report.count() == 10
