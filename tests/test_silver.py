@@ -208,7 +208,7 @@ def test_dates_alone_shuffle_no_references(spark):
     assert "cod_prod" not in above and "id_cli" not in above and "_known" in above
 
 
-@pytest.mark.parametrize("name", ["report_gold_counts"])
+@pytest.mark.parametrize("name", ["report_gold_counts", "report_gold_integrity"])
 def test_gold_reports_rank_the_copies_of_a_fact_once(spark, name):
     """What is left to do when the report is planned reads written facts, and no source of theirs."""
     report = all_queries()[name](spark, SMOKE)
