@@ -1,15 +1,20 @@
 from __future__ import annotations
 
+import os
+import time
 from dataclasses import replace
 from datetime import datetime, timedelta
+from decimal import Decimal
+from functools import reduce
 
 import pytest
 from conftest import SMOKE, rows
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tesora.config import CLIENTES, MOVIMIENTOS, PRODUCTOS, SPECS, RunContext
+from tesora.config import CLIENTES, COMISIONES, MOVIMIENTOS, PRODUCTOS, SPECS, RunContext
 from tesora.operators import audit
-from tesora.plans import runner
+from tesora.plans import runner, silver
 from tesora.plans.catalogue import CFG, Lake
 from tesora.sources import bronze
 
@@ -113,3 +118,43 @@ def test_record_hashes_are_written_in_half_their_length(spark, cfg, run):
     size = spark.read.format("binaryFile").load(versions.written["silver.hashes"][0]).where("path LIKE '%.parquet'").agg(F.sum("length")).first()[0]
     assert held.exceptAll(hashes).isEmpty() and held.count() == 20_000
     assert size < 20_000 * 64 * 0.7
+
+
+def test_a_fact_staged_in_parts_has_the_rows_of_the_whole(spark, monkeypatch):
+    """Copies, rows without a key and unknown references; the parts' keys are apart."""
+    at = datetime(2024, 2, 1)
+    text = "id_comision bigint, id_cli int, cod_prod string, fec_cobro date, vr_comision decimal(18,2), tip_comision string, estado_cobro string"
+    rows_of = [(k % 40 if k % 7 else None, k % 9, f"p{k % 5} ", at.date(), Decimal(k - 20), "x", "COBRADA", at + timedelta(days=k), "f", k) for k in range(120)]
+    fees = spark.createDataFrame(rows_of, f"{text}, _ingestion_timestamp_utc timestamp, _source_file string, _row_index bigint")
+    bronze_rows = {
+        COMISIONES: fees,
+        CLIENTES: spark.createDataFrame([(k,) for k in range(6)], "id_cli int"),
+        PRODUCTOS: spark.createDataFrame([("P1",), ("P2",), ("P4",)], "cod_prod string"),
+    }
+    cfg = replace(CFG, specs=dict(SPECS))
+    monkeypatch.setattr(silver, "PART_BYTES", 2**63)
+    whole = silver.stage_parts(bronze_rows, COMISIONES, cfg)
+    monkeypatch.setattr(silver, "PART_BYTES", 0)
+    parts = silver.stage_parts(bronze_rows, COMISIONES, cfg)
+    assert len(whole) == 1 and len(parts) == silver.PARTS
+    assert rows(reduce(DataFrame.unionByName, parts)) == rows(whole[0]) and whole[0].count() == 120
+    keys = [{r[0] for r in part.select("id_comision").distinct().collect()} for part in parts]
+    assert sum(map(len, keys)) == len(set().union(*keys)) and sum(None in k for k in keys) == 1
+
+
+def test_a_written_table_leaves_no_shuffle_files(spark, tmp_path):
+    local = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().localDirsString()
+
+    def files():
+        return {name for folder in local for _, _, names in os.walk(folder) for name in names if name.startswith("shuffle_")}
+
+    versions = runner.Versions(spark, replace(CFG, root=str(tmp_path)), RunContext("R", datetime(2024, 2, 1)), "silver")
+    before = files()
+    parts = [spark.range(20_000).selectExpr(f"id % 5003 + {5003 * k} AS k").groupBy("k").count() for k in (0, 1)]
+    held = versions.write(parts[0], "silver", "t", parts[1])
+    for _ in range(50):
+        if not (left := files() - before):
+            break
+        time.sleep(0.2)
+    assert not left and held.count() == 10_006
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
