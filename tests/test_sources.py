@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tesora.config import APPEND_WATERMARK, CHANGE_TRACKING, CLIENTES, COMISIONES, LOAD_ORDER, MOVIMIENTOS, PRODUCTOS, SPECS, RunContext
 from tesora.operators import quality
+from tesora.plans import catalogue
 from tesora.sources import bronze, control, extract, sinks
 from tesora.streaming.alerts import failure_alerts
 from tesora.streaming.landing import stream_bronze
@@ -305,3 +306,23 @@ def test_both_formats_of_an_export_come_from_one_computation(spark, tmp_path):
     sinks.export_tables({"t": once}, str(tmp_path), rows_per_file=50)
     csv = spark.read.option("header", True).csv(f"{tmp_path}/csv/t")
     assert rows(csv, "id", "v") == rows(spark.read.parquet(f"{tmp_path}/parquet/t").select(F.col("id").cast("string"), "v"))
+
+
+def test_the_report_exports_once_and_keeps_every_check(spark, monkeypatch):
+    """Both checks of files look at one export; each of the report's checks is in it."""
+    exports, merged, export, report = [], [], sinks.export_tables, quality.dq_report
+    monkeypatch.setattr(sinks, "export_tables", lambda frames, out, **kw: (exports.append(out), export(frames, out, **kw)))
+    monkeypatch.setattr(quality, "dq_report", lambda checks: (merged.extend(checks), report(checks))[1])
+    found = catalogue.all_queries()["dq_report"](spark, SMOKE).first()
+    assert len(exports) == 1
+    kinds = {r["control"].split(".")[0]: r["n"] for r in merged_counts(merged)}
+    assert kinds == {"llave": 5, "referencia": 6, "nulos": 5, "anomalia": 3, "consistencia": 2, "dominio": 1, "archivo": 14, "huella": 12, "columnas": 6}
+    assert found["controles_exitosos"] + found["controles_fallidos"] == sum(kinds.values())
+    assert "archivo.tb_ausente.csv" in found["fallas"].split("|") and "huella.tb_productos_cat.csv" in found["fallas"].split("|")
+
+
+def merged_counts(checks):
+    every = checks[0]
+    for df in checks[1:]:
+        every = every.unionByName(df)
+    return every.groupBy(F.split("control", r"\.")[0].alias("control")).agg(F.count("*").alias("n")).collect()
